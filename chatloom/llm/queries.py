@@ -3,19 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import public_tokenizers
 from chatloom.llm.exact_dedup import exact_dedup
+from chatloom.llm.language_id import fit_language_models, held_out, identify_languages
+from chatloom.llm.token_counts import token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_languages(docs, fit_language_models(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_char", "rejected")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup,)}
+QUERIES = {f.__name__: f for f in (op4_token_counts, op5_language_id, op7_exact_dedup)}
 
 SQL = {
     "op7_exact_dedup": r"""
