@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from chatloom.llm.exact_dedup import exact_dedup
 from chatloom.llm.language_id import fit_language_models, held_out, identify_languages
+from chatloom.llm.simhash import simhash_components
 from chatloom.llm.token_counts import token_counts
 
 
@@ -25,11 +26,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_char", "rejected")
 
 
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op5_language_id, op7_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup)}
 
 SQL = {
     "op7_exact_dedup": r"""
