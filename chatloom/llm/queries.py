@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from chatloom.llm.exact_dedup import exact_dedup
 from chatloom.llm.language_id import fit_language_models, held_out, identify_languages
+from chatloom.llm.pieces import encode_pieces
 from chatloom.llm.simhash import simhash_components
 from chatloom.llm.token_counts import token_counts
 
@@ -16,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
@@ -34,7 +39,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_piece_encoding, op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup)}
 
 SQL = {
     "op7_exact_dedup": r"""
