@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from chatloom.llm.exact_dedup import exact_dedup
 from chatloom.llm.language_id import fit_language_models, held_out, identify_languages
+from chatloom.llm.line_dedup import BLOCK, HIDDEN, HOST, MIN_PAGES, RATIO, TAG, html_lines, host_of, line_dedup
 from chatloom.llm.pieces import encode_pieces
 from chatloom.llm.simhash import simhash_components
 from chatloom.llm.token_counts import token_counts
+from chatloom.llm.top_k import EVERY, SCALE, K, top_k
+from chatloom.llm.warc import BASE32, URL, warc_index
+
+
+#: The pages carry no capture time: theirs are this second (2024-01-01 UTC) and the following, by page_id.
+FIRST_CAPTURE = 1_704_067_200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +46,23 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
-QUERIES = {f.__name__: f for f in (op3_piece_encoding, op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup)}
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    captured = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce("page_id", F.lit(0)))
+    return warc_index(pages, captured).drop("archive", "offset")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = line_dedup(pages, host_of(F.col("url")), html_lines(F.col("html")))
+    return found.select("page_id", "host", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op3_piece_encoding, op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup, op8_warc, op9_line_dedup, op10_top_k)}
 
 SQL = {
     "op7_exact_dedup": r"""
@@ -53,4 +76,49 @@ SQL = {
             FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
     """,
+    "op8_warc": rf"""
+        WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+        d AS (
+            SELECT *, min(page_id) OVER (PARTITION BY hex) AS first,
+                   array_to_string(list_transform(range(32), lambda i: substr('{BASE32}',
+                       ((('0x' || substr(hex, CAST((i // 4) * 5 + 1 AS INT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1, 1)), '') AS payload_digest,
+                   regexp_extract(url, '{URL.pattern}', 1) AS host, regexp_extract(url, '{URL.pattern}', 2) AS rest
+            FROM p)
+        SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to,
+               CASE WHEN host = '' THEN url ELSE array_to_string(list_reverse(string_split(lower(host), '.')), ',') || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END END AS url_key,
+               strftime(to_timestamp({FIRST_CAPTURE} + page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+        FROM d
+    """,
+    "op9_line_dedup": rf"""
+        WITH t AS (
+            SELECT page_id, lower(regexp_extract(coalesce(url, ''), '{HOST}', 1)) AS host,
+                   regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '{HIDDEN}', '', 'g'), '{BLOCK}', chr(10), 'g'), '{TAG}', '', 'g') AS text
+            FROM pages),
+        l AS (
+            SELECT page_id, host, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS ls FROM t),
+        e AS (SELECT page_id, host, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM l),
+        c AS (
+            SELECT host, line FROM (SELECT host, line, count(DISTINCT page_id) AS n FROM e GROUP BY ALL)
+            JOIN (SELECT host, count(*) AS pages FROM l GROUP BY ALL) USING (host)
+            WHERE pages >= {MIN_PAGES} AND n > 1 AND n > {RATIO}::DOUBLE * pages),
+        k AS (
+            SELECT page_id, count(*) FILTER (c.line IS NOT NULL) AS n_dropped,
+                   coalesce(string_agg(e.line, chr(10) ORDER BY pos) FILTER (c.line IS NULL), '') AS kept
+            FROM e LEFT JOIN c ON e.host = c.host AND e.line = c.line GROUP BY page_id)
+        SELECT l.page_id, l.host, CAST(len(ls) AS BIGINT) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM l LEFT JOIN k USING (page_id)
+    """,
+    "op10_top_k": f"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % {EVERY} = 0),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT * FROM r WHERE rank <= {K}
+    """,
 }
