@@ -37,9 +37,10 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from chatloom.llm.shared import texts
+from chatloom.llm.lattice import SHORT, Lattice, groups
+from chatloom.llm.shared import slices, texts
 
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 N_BEST = 3
 #: Below the lowest score of a piece that ranks merges, as for unknown characters elsewhere.
 UNKNOWN_PENALTY = 10.0
@@ -79,16 +80,22 @@ class Segmenter:
         if any(len({c in letters for c in piece.lstrip(MARK)}) > 1 for piece in self.pieces):
             letters = set()  # some piece joins letters to others: words end at blanks alone
         kinds = ["".join(map(re.escape, sorted(kind))) for kind in (letters, single - letters) if kind]
+        self.inside = single | {MARK}
         runs = "|".join(f"[{kind}]+" for kind in kinds)
         self.split = re.compile(f"{MARK}*(?:{runs})|{MARK}+|[^{''.join(kinds)}{MARK}]").findall
+        self.lattice = Lattice(self.pieces, lambda piece: list(map(ord, piece)))
+        self.by_id = np.full(model.get_piece_size() + 1, -np.inf)  # the last stands for no piece
+        self.by_id[list(self.score)] = list(self.score.values())
         self.known: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
         self.known.clear()
-        self.best: list[list[tuple[float, tuple[int, ...]]]] = []
+        self.spelling: list[str] = []
+        self.ids: list[tuple[int, ...]] = []
         self.firsts: list[float] = []
-        self.seconds: list[float] = []
+        self.seconds: list[float] = []  # what the second choice scores less
+        self.choices: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
 
     def edges(self, word: str, end: int) -> Iterator[tuple[int, float, tuple[int, ...]]]:
         """(start, score, ids) of the edges into node ``end``, longest first."""
@@ -131,14 +138,56 @@ class Segmenter:
             found.append((so_far, tuple(ids)))
         return found
 
-    def word(self, word: str, n: int) -> int:
-        found = self.known.get(word)
+    def add(self, word: str, ids: tuple[int, ...], first: float, second: float) -> None:
+        self.known[word] = len(self.ids)
+        self.spelling.append(word)
+        self.ids.append(ids)
+        self.firsts.append(first)
+        self.seconds.append(second)
+
+    def learn(self, words: list[str]) -> None:
+        """Best segmentation of each new word, and how much less the second best scores.
+
+        Forward and backward scores of many equally long words at once: the second
+        best path has an edge off the best path, so it is the best path through one.
+        """
+        new = {w for w in words if w not in self.known}
+        if len(self.known) + len(new) > REMEMBERED:
+            self.clear()
+            new = set(words)
+        plain = [w for w in new if w[0] in self.inside and len(w) <= SHORT]
+        for own in groups(plain):
+            n, length = len(own), len(own[0])
+            pieces = self.lattice.edges(np.frombuffer("".join(own).encode("utf-32-le"), np.uint32).reshape(n, length))
+            score = self.by_id[pieces]
+            forward, backward = np.full((length + 1, n), -np.inf), np.full((length + 1, n), -np.inf)
+            forward[0] = backward[length] = 0
+            for end in range(1, length + 1):
+                forward[end] = (forward[:end] + score[:end, end]).max(axis=0)
+            for start in range(length - 1, -1, -1):
+                backward[start] = (backward[start + 1 :] + score[start, start + 1 :]).max(axis=0)
+            through = forward[:, None] + score + backward[None, :]
+            node, taken = np.full(n, length), np.full((n, length), -1, np.int64)
+            for end in range(length, 0, -1):
+                at = np.flatnonzero(node == end)
+                start = (forward[:end, at] + score[:end, end, at] == forward[end, at]).argmax(axis=0)
+                taken[at, end - 1] = pieces[start, end, at]
+                through[start, end, at] = -np.inf
+                node[at] = start
+            losses = (forward[length] - through.max(axis=(0, 1))).tolist()
+            for word, row, first, loss in zip(own, taken.tolist(), forward[length].tolist(), losses, strict=True):
+                self.add(word, tuple([i for i in row if i >= 0]), first, loss)
+        for word in new.difference(plain):
+            best = self.options(word, 2)
+            self.add(word, best[0][1], best[0][0], best[0][0] - best[1][0] if len(best) > 1 else np.inf)
+
+    def options(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        return self.spelled(word[1:]) if len(word) > 1 and word[0] == "\0" else self.nbest(word, n)
+
+    def chosen(self, number: int, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        found = self.choices.get(number)
         if found is None:
-            best = self.spelled(word[1:]) if len(word) > 1 and word[0] == "\0" else self.nbest(word, n)
-            found = self.known[word] = len(self.best)
-            self.best.append(best)
-            self.firsts.append(best[0][0])
-            self.seconds.append(best[0][0] - best[1][0] if len(best) > 1 else np.inf)
+            found = self.choices[number] = self.options(self.spelling[number], n)
         return found
 
     def spelled(self, text: str) -> list[tuple[float, tuple[int, ...]]]:
@@ -156,48 +205,45 @@ class Segmenter:
             found += self.split(part.replace(" ", MARK))
         return found
 
-    def segment(self, text: str, n: int) -> tuple[np.ndarray, list[float], list[dict[int, int]]]:
-        """The words' numbers, the ``n`` best scores, and for each which words (by position) take which other choice."""
-        words = self.words(text)
-        if len(self.known) + len(words) > REMEMBERED and any(w not in self.known for w in words):
-            self.clear()
-        if not words:
-            return np.zeros(0, np.int64), [0.0], [{}]
-        known = self.known
-        listed = [known[w] if w in known else self.word(w, n) for w in words]
-        numbers = np.array(listed, np.int64)
-        total = sum([self.firsts[k] for k in listed])
-        # Only the n - 1 cheapest departures (earliest first among equals) can be in the n best.
-        costs = np.array([self.seconds[k] for k in listed])
-        cheap = []
-        for _ in range(min(n - 1, len(costs))):
-            k = int(costs.argmin())
-            if np.isinf(costs[k]):
-                break
-            cheap.append(k)
-            costs[k] = np.inf
-        cheap.sort(reverse=True)
-        # Backward over these words; choices from the end settle ties.
-        queue = [(0.0, (), 0)]
-        scores, choices = [], []
-        while queue and len(scores) < n:
-            cost, taken, depth = heapq.heappop(queue)
-            if depth == len(cheap):
-                scores.append(total - cost)
-                choices.append({k: c for k, c in zip(cheap, taken, strict=True) if c})
-                continue
-            options = self.best[numbers[cheap[depth]]]
-            for c, (score, _) in enumerate(options):
-                heapq.heappush(queue, (cost + options[0][0] - score, (*taken, c), depth + 1))
-        return numbers, scores, choices
+    def segment(self, texts: list[str], n: int) -> Iterator[tuple[list[int], list[float], list[dict[int, int]]]]:
+        """Of each text the words' numbers, the ``n`` best scores, and for each which words (by position) take which other choice."""
+        split = [self.words(t) for t in texts]
+        self.learn([w for words in split for w in words])
+        known, firsts, seconds = self.known, self.firsts, self.seconds
+        for words in split:
+            numbers = [known[w] for w in words]
+            total = sum([firsts[k] for k in numbers])
+            # Only the n - 1 cheapest departures (earliest first among equals) can be in the n best.
+            costs = np.array([seconds[k] for k in numbers])
+            cheap = []
+            for _ in range(min(n - 1, len(costs))):
+                k = int(costs.argmin())
+                if np.isinf(costs[k]):
+                    break
+                cheap.append(k)
+                costs[k] = np.inf
+            cheap.sort(reverse=True)
+            # Backward over these words; choices from the end settle ties.
+            queue: list[tuple] = [(0.0, (), 0)]
+            scores, choices = [], []
+            while queue and len(scores) < n:
+                cost, taken, depth = heapq.heappop(queue)
+                if depth == len(cheap):
+                    scores.append(total - cost)
+                    choices.append({k: c for k, c in zip(cheap, taken, strict=True) if c})
+                    continue
+                options = self.chosen(numbers[cheap[depth]], n)
+                for c, (score, _) in enumerate(options):
+                    heapq.heappush(queue, (cost + options[0][0] - score, (*taken, c), depth + 1))
+            yield numbers, scores, choices
 
     def encode(self, text: str, n: int = 1) -> list[tuple[float, list[int]]]:
         """The ``n`` best (score, ids), best first."""
-        numbers, scores, choices = self.segment(text, max(n, 2))
-        return [(s, [i for k, w in enumerate(numbers) for i in self.best[w][other.get(k, 0)][1]]) for s, other in zip(scores[:n], choices, strict=False)]
+        ((numbers, scores, choices),) = self.segment([text], max(n, 2))
+        return [(s, [i for k, w in enumerate(numbers) for i in (self.chosen(w, max(n, 2))[other[k]][1] if k in other else self.ids[w])]) for s, other in zip(scores[:n], choices, strict=False)]
 
-    def best_ids(self, numbers: np.ndarray) -> np.ndarray:
-        return np.fromiter(chain.from_iterable([self.best[k][0][1] for k in numbers.tolist()]), np.int32)
+    def best_ids(self, numbers: list[int]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable([self.ids[k] for k in numbers]), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text that ``ids`` stand for, without the blank added in front."""
@@ -242,12 +288,11 @@ def encode_pieces(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str
         own = segmenter(path)
         # Batches of long texts are taken apart, so that ids and texts together stay small.
         for whole in batches:
-            for batch in (whole.slice(at, 1000) for at in range(0, whole.num_rows, 1000)):
+            for batch in slices(whole, 1):
                 out: dict[str, list] = {name: [] for name in names[1:-1] if name != "ids"} | {"ids_sha256": []}
                 kept = []
-                for value in batch.column(1):
-                    text = value.as_py()
-                    numbers, scores, _ = own.segment(text, n_best)
+                values = batch.column(1).to_pylist()
+                for text, (numbers, scores, _) in zip(values, own.segment(values, n_best), strict=True):
                     ids = own.best_ids(numbers)
                     out["n_pieces"].append(len(ids))
                     out["score"].append(scores[0])

@@ -4,6 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +57,12 @@ def partitions(spark: SparkSession) -> int:
 def uniform(key: Column, salt: str) -> Column:
     """A number in [0, 1) that depends on ``key`` and ``salt`` alone."""
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``size`` bytes of text, so that lists of words stay small."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), batch.num_rows]
+    for at, to in zip(cuts, cuts[1:], strict=False):
+        if to > at:
+            yield batch.slice(at, to - at)
