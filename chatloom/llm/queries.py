@@ -11,6 +11,7 @@ from chatloom.llm.language_id import fit_language_models, held_out, identify_lan
 from chatloom.llm.line_dedup import BLOCK, HIDDEN, HOST, MIN_PAGES, RATIO, TAG, html_lines, host_of, line_dedup
 from chatloom.llm.pieces import encode_pieces
 from chatloom.llm.simhash import simhash_components
+from chatloom.llm.suffix_dedup import WINDOW, suffix_dedup
 from chatloom.llm.token_counts import token_counts
 from chatloom.llm.top_k import EVERY, SCALE, K, top_k
 from chatloom.llm.warc import BASE32, URL, warc_index
@@ -24,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
@@ -62,9 +67,25 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op3_piece_encoding, op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup, op8_warc, op9_line_dedup, op10_top_k)}
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_piece_encoding, op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup, op8_warc, op9_line_dedup, op10_top_k)}
 
 SQL = {
+    "op2_suffix_dedup": f"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+        w AS (SELECT doc_id, s, md5(substr(x, CAST(2 * s + 1 AS INT), {2 * WINDOW})) AS m FROM d, unnest(range(n - {WINDOW} + 1)) AS t(s)),
+        r AS (SELECT doc_id, s FROM w QUALIFY row_number() OVER (PARTITION BY m ORDER BY doc_id, s) > 1),
+        g AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + {WINDOW} THEN 0 ELSE 1 END AS new FROM r),
+        i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM g),
+        p AS (SELECT doc_id, span, min(s) AS a, max(s) + {WINDOW} AS b FROM i GROUP BY ALL),
+        q AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM p),
+        k AS (
+            SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS tail,
+                   string_agg(substr(x, CAST(2 * before + 1 AS INT), CAST(2 * (a - before) AS INT)), '' ORDER BY a) AS kept
+            FROM q JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, '') || substr(x, CAST(2 * coalesce(tail, 0) + 1 AS INT)))) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)
+    """,
     "op7_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
