@@ -68,3 +68,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.when(grouped, F.col("_row") == F.col("_keep_row")).otherwise(F.lit(True)).alias("kept"),
         F.col("_sha").alias("text_sha256"),
     )
+
+
+def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of equal texts, the one ``exact_dedup`` keeps; columns as they were."""
+    found = cut(exact_dedup(docs, id_col, text_col, digest=True).select(F.col(id_col).alias("_keep"), "kept", F.col("text_sha256").alias("_its")), "dedup-decisions")
+    kept = found.filter("kept")
+    own = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    key, text = f"c{docs.columns.index(id_col)}", f"c{docs.columns.index(text_col)}"
+    own = own.withColumn("_sha", F.sha2(without_blanks(F.coalesce(text, F.lit(""))), 256))
+    stay = own.join(kept, own[key].eqNullSafe(kept["_keep"]) & (own["_sha"] == kept["_its"]), "left_semi")
+    if found.groupBy("_keep", "_its").count().filter("count > 1").take(1):
+        stay = stay.dropDuplicates([key, "_sha"])
+    return stay.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.shared import uniform
+from chatloom.llm.shared import slices, uniform
 
 ORDER = 4
 PER_LANGUAGE = 300
@@ -184,7 +184,9 @@ class Models:
     def predict(self, texts: list[str]) -> list[tuple[str, float, float | None, bool]]:
         """(language, posterior, bits per character, rejected) of each text."""
         found = []
-        for row in self.entropies(texts) if self.languages else np.full((len(texts), 1), np.nan):
+        if not self.languages:
+            return [(UNKNOWN, 0.0, None, not LETTERS.search(t)) for t in texts]
+        for row in self.entropies(texts):
             if np.isnan(row[0]):
                 found.append((UNKNOWN, 0.0, None, True))
                 continue
@@ -213,7 +215,7 @@ def fit_language_models(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Models from the labelled rows that ``held_out`` leaves.
 
     Rows with a null text, label or id are not used.  Without labelled rows there
-    is no language and every text is rejected as ``und``.
+    is no language: every text is ``und``, and those without letters are rejected.
     """
     rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"), docs[lang_col].cast("string").alias("_lang"))
     rows = rows.filter("_id is not null and _text is not null and _lang is not null").filter(~held_out(F.col("_id")))
@@ -253,8 +255,8 @@ def fit_language_models(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return models
 
 
-def identify_languages(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: id, lang_pred, score, bits_per_char, rejected, then the columns named in ``keep``.
+def identify_languages(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, lang_pred, score, bits_per_char, rejected.
 
     Texts that are null or have no letter are ``und`` with score 0 and rejected;
     so is, keeping its best language, a text whose entropy lies beyond what the
@@ -262,14 +264,28 @@ def identify_languages(docs: DataFrame, models: Models, id_col: str = "doc_id",
     table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"), *[docs[c].alias(f"_keep{i}") for i, c in enumerate(keep)])
-    kinds = rows.dtypes
-    schema = f"`{id_col}` {kinds[0][1]}, lang_pred string, score double, bits_per_char double, rejected boolean" + "".join(f", `{c}` {kind}" for c, (_, kind) in zip(keep, kinds[2:], strict=True))
+    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
+    schema = f"`{id_col}` {rows.dtypes[0][1]}, lang_pred string, score double, bits_per_char double, rejected boolean"
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = shared.value.predict([t or "" for t in batch.column(1).to_pylist()])
-            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[2:]], names=[id_col, "lang_pred", "score", "bits_per_char", "rejected", *keep])
+        for whole in batches:
+            for batch in slices(whole, 1):
+                found = shared.value.predict([t or "" for t in batch.column(1).to_pylist()])
+                columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "lang_pred", "score", "bits_per_char", "rejected"])
 
     return rows.mapInArrow(named, schema)
+
+
+def drop_rejected(docs: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``identify_languages`` rejects; columns as they were."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    at = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, at):
+                found = shared.value.predict([t or "" for t in batch.column(at).to_pylist()])
+                yield batch.filter(pa.array([not f[3] for f in found], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

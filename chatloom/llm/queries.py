@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 from chatloom.llm.exact_dedup import exact_dedup
 from chatloom.llm.language_id import fit_language_models, held_out, identify_languages
 from chatloom.llm.line_dedup import BLOCK, HIDDEN, HOST, MIN_PAGES, RATIO, TAG, html_lines, host_of, line_dedup
+from chatloom.llm.mixing import mix
 from chatloom.llm.pieces import encode_pieces
 from chatloom.llm.simhash import simhash_components
 from chatloom.llm.suffix_dedup import WINDOW, suffix_dedup
@@ -25,6 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def domain() -> Column:
+    """The domain that a row of ``labels`` names."""
+    return F.concat(F.lit("quality"), F.col("quality").cast("string"), F.lit("-toxic"), F.col("toxic").cast("string"))
+
+
+#: Target weights of the domains by tokens.
+CLEAN = "quality1-toxic0"
+TARGETS = {CLEAN: 0.92, "quality0-toxic0": 0.05, "quality1-toxic1": 0.02, "quality0-toxic1": 0.01}
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), domain(), TARGETS, CLEAN)
+    return found.select("doc_id", "n_tokens", "domain", F.element_at("posteriors", F.col("domain")).alias("posterior"), F.round("rate", 6).alias("rate"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -67,7 +83,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_piece_encoding, op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup, op8_warc, op9_line_dedup, op10_top_k)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_suffix_dedup, op3_piece_encoding, op4_token_counts, op5_language_id, op6_simhash_dedup, op7_exact_dedup, op8_warc, op9_line_dedup, op10_top_k)}
 
 SQL = {
     "op2_suffix_dedup": f"""

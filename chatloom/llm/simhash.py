@@ -198,3 +198,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = cut(named.groupBy("_root").agg(F.min("_least").alias("_component")), "simhash-names")
     named = cut(named.join(least, "_root").select(F.col("_fp").alias("_class"), "_component"), "simhash-components")
     return marked.join(named, marked["_fp"] == named["_class"]).select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), F.col("_component").alias("component_id"))
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id; columns as they were.
+
+    Rows that repeat an id are one document, of which one row stays; rows without
+    an id can't be told apart and stay.
+    """
+    found = simhash_components(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep"))
+    found = cut(found.groupBy("_keep").count(), "simhash-decisions")
+    own = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    key = f"c{docs.columns.index(id_col)}"
+    stay = own.join(found, own[key] == found["_keep"], "left_semi")
+    if found.filter("count > 1").take(1):
+        stay = stay.dropDuplicates([key])
+    stay = stay.unionByName(own.filter(F.col(key).isNull()))
+    return stay.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
