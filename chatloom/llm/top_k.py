@@ -110,7 +110,7 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     Queries are the rows whose id is divisible by ``every``, candidates all rows
     but those with the query's id.  A repeated query id is one query (its first
     vector by content); repeated candidate rows each count.  Components beyond a
-    shorter vector's count as zero.  An empty table gives an empty result; other
+    shorter vector's count as zero; products that could leave 64 bits raise.  An empty table gives an empty result; other
     columns are ignored.
     """
     spark = vectors.sparkSession
@@ -136,7 +136,10 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             widest = int(np.abs(queries).max(initial=0))
             for own, table in _tables(batches, queries.shape[1]):
                 # Exact in doubles, which have fast products, while every sum stays below 2**52.
-                exact = widest * int(np.abs(table).max(initial=0)) * max(1, table.shape[1]) < 2**52
+                most = widest * int(np.abs(table).max(initial=0)) * max(1, table.shape[1])
+                if most >= 2**63:
+                    raise OverflowError("scores do not fit 64 bits")
+                exact = most < 2**52
                 lists = Lists(own, table.astype(np.float64 if exact else np.int64))
                 for q, query in enumerate(queries.astype(lists.table.dtype)):
                     scores[q], ids[q] = lists.best(int(query_ids[q]), query, scores[q], ids[q])
