@@ -9,7 +9,8 @@ import numpy as np
 
 #: Words above this length go one by one.
 SHORT = 24
-GROUP = 20_000
+#: Edges of a group of words, present or not.
+EDGES = 1 << 20
 STEP = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -52,11 +53,12 @@ class Lattice:
 
 
 def groups(words: Iterable[Sequence]) -> Iterator[list]:
-    """The words of up to ``SHORT`` codes in lists of equal length and at most ``GROUP``."""
+    """The words of up to ``SHORT`` codes in lists of equal length with at most about ``EDGES`` edges."""
     by_length = defaultdict(list)
     for word in words:
         by_length[len(word)].append(word)
     for length, own in by_length.items():
         if 0 < length <= SHORT:
-            for at in range(0, len(own), GROUP):
-                yield own[at : at + GROUP]
+            size = max(1, EDGES // (length + 1) ** 2)
+            for at in range(0, len(own), size):
+                yield own[at : at + size]

@@ -38,9 +38,9 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from chatloom.llm.lattice import SHORT, Lattice, groups
-from chatloom.llm.shared import slices, texts
+from chatloom.llm.shared import only, slices, texts
 
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 N_BEST = 3
 #: Below the lowest score of a piece that ranks merges, as for unknown characters elsewhere.
 UNKNOWN_PENALTY = 10.0
@@ -56,7 +56,6 @@ class Segmenter:
         self.pieces: dict[str, int] = {}
         self.score: dict[int, float] = {}
         self.byte: dict[int, int] = {}
-        self.written: dict[int, str] = {}
         scores = []
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
@@ -66,14 +65,18 @@ class Segmenter:
                 if MARK in piece.lstrip(MARK):
                     raise ValueError(f"piece {piece!r} holds a blank mark inside")
                 self.pieces[piece] = i
-                self.written[i] = piece
                 scores.append(model.get_score(i))
         # Pieces outside the merge ranking carry a huge negative score; all of them rank just below the others.
         low = min(s for s in scores if s > -1e6) - UNKNOWN_PENALTY
         for piece, i in self.pieces.items():
             self.score[i] = max(model.get_score(i), low * len(piece))
         self.byte_score = 2 * low
-        self.byte_of = {i: b for b, i in self.byte.items()}
+        # Bytes above ASCII stand as the surrogates that encoding turns back into bytes.
+        self.text_of = [""] * model.get_piece_size()
+        for piece, i in self.pieces.items():
+            self.text_of[i] = piece.replace(MARK, " ")
+        for b, i in self.byte.items():
+            self.text_of[i] = chr(b) if b < 128 else chr(0xDC00 + b)
         self.longest = max(map(len, self.pieces))
         single = {c for piece in self.pieces for c in piece} - {MARK}
         letters = {c for c in single if c.isalpha()}
@@ -93,8 +96,8 @@ class Segmenter:
         self.known.clear()
         self.spelling: list[str] = []
         self.ids: list[tuple[int, ...]] = []
-        self.firsts: list[float] = []
-        self.seconds: list[float] = []  # what the second choice scores less
+        self.firsts = np.zeros(REMEMBERED)
+        self.seconds = np.zeros(REMEMBERED)  # what the second choice scores less
         self.choices: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
 
     def edges(self, word: str, end: int) -> Iterator[tuple[int, float, tuple[int, ...]]]:
@@ -139,22 +142,23 @@ class Segmenter:
         return found
 
     def add(self, word: str, ids: tuple[int, ...], first: float, second: float) -> None:
-        self.known[word] = len(self.ids)
+        at = self.known[word] = len(self.ids)
+        if at == len(self.firsts):  # more new words at once than are kept otherwise
+            self.firsts, self.seconds = np.resize(self.firsts, 2 * at), np.resize(self.seconds, 2 * at)
         self.spelling.append(word)
         self.ids.append(ids)
-        self.firsts.append(first)
-        self.seconds.append(second)
+        self.firsts[at], self.seconds[at] = first, second
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Best segmentation of each new word, and how much less the second best scores.
 
         Forward and backward scores of many equally long words at once: the second
         best path has an edge off the best path, so it is the best path through one.
         """
-        new = {w for w in words if w not in self.known}
+        new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.clear()
-            new = set(words)
+            new = words
         plain = [w for w in new if w[0] in self.inside and len(w) <= SHORT]
         for own in groups(plain):
             n, length = len(own), len(own[0])
@@ -205,16 +209,16 @@ class Segmenter:
             found += self.split(part.replace(" ", MARK))
         return found
 
-    def segment(self, texts: list[str], n: int) -> Iterator[tuple[list[int], list[float], list[dict[int, int]]]]:
+    def segment(self, texts: list[str], n: int) -> Iterator[tuple[np.ndarray, list[float], list[dict[int, int]]]]:
         """Of each text the words' numbers, the ``n`` best scores, and for each which words (by position) take which other choice."""
         split = [self.words(t) for t in texts]
-        self.learn([w for words in split for w in words])
+        self.learn(set().union(*split))
         known, firsts, seconds = self.known, self.firsts, self.seconds
         for words in split:
-            numbers = [known[w] for w in words]
-            total = sum([firsts[k] for k in numbers])
+            numbers = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            total = float(firsts[numbers].sum())
             # Only the n - 1 cheapest departures (earliest first among equals) can be in the n best.
-            costs = np.array([seconds[k] for k in numbers])
+            costs = seconds[numbers]
             cheap = []
             for _ in range(min(n - 1, len(costs))):
                 k = int(costs.argmin())
@@ -232,7 +236,7 @@ class Segmenter:
                     scores.append(total - cost)
                     choices.append({k: c for k, c in zip(cheap, taken, strict=True) if c})
                     continue
-                options = self.chosen(numbers[cheap[depth]], n)
+                options = self.chosen(int(numbers[cheap[depth]]), n)
                 for c, (score, _) in enumerate(options):
                     heapq.heappush(queue, (cost + options[0][0] - score, (*taken, c), depth + 1))
             yield numbers, scores, choices
@@ -240,26 +244,15 @@ class Segmenter:
     def encode(self, text: str, n: int = 1) -> list[tuple[float, list[int]]]:
         """The ``n`` best (score, ids), best first."""
         ((numbers, scores, choices),) = self.segment([text], max(n, 2))
-        return [(s, [i for k, w in enumerate(numbers) for i in (self.chosen(w, max(n, 2))[other[k]][1] if k in other else self.ids[w])]) for s, other in zip(scores[:n], choices, strict=False)]
+        return [(s, [i for k, w in enumerate(numbers.tolist()) for i in (self.chosen(w, max(n, 2))[other[k]][1] if k in other else self.ids[w])]) for s, other in zip(scores[:n], choices, strict=False)]
 
-    def best_ids(self, numbers: list[int]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable([self.ids[k] for k in numbers]), np.int32)
+    def best_ids(self, numbers: np.ndarray) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(map(self.ids.__getitem__, numbers.tolist())), np.int32)
 
     def decode(self, ids: list[int]) -> str:
-        """The text that ``ids`` stand for, without the blank added in front."""
-        out, spelled = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                spelled.append(self.byte_of[i])
-                continue
-            if spelled:
-                out.append(spelled.decode("utf-8", "replace"))
-                spelled.clear()
-            if i in self.written:
-                out.append(self.written[i].replace(MARK, " "))
-        out.append(spelled.decode("utf-8", "replace"))
-        text = "".join(out)
-        return text.removeprefix(" ")
+        """The text that ``ids`` stand for, without the blank added in front; broken byte sequences are replaced."""
+        text = "".join(map(self.text_of.__getitem__, ids))
+        return text.encode("utf-8", "surrogateescape").decode("utf-8", "replace").removeprefix(" ")
 
 
 @lru_cache(2)
@@ -286,6 +279,7 @@ def encode_pieces(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(path)
+        only("pieces", own.clear)
         # Batches of long texts are taken apart, so that ids and texts together stay small.
         for whole in batches:
             for batch in slices(whole, 1):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,21 @@ def uniform(key: Column, salt: str) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+_remembered: dict[str, Callable[[], None]] = {}
+
+
+def only(name: str, forget: Callable[[], None] | None = None) -> None:
+    """Called in a worker by the operator ``name``: what other operators remember there is given up.
+
+    Workers outlive tasks, and word tables are worth keeping from task to task; of a
+    pipeline's operators, only the one at work may hold one.
+    """
+    for other in [n for n in _remembered if n != name]:
+        _remembered.pop(other)()
+    if forget:
+        _remembered[name] = forget
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``size`` bytes of text, so that lists of words stay small."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()).astype(np.int64)
