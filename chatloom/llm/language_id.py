@@ -27,21 +27,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.shared import slices, uniform
+from chatloom.llm.shared import only, slices, uniform
 
 ORDER = 4
 PER_LANGUAGE = 300
 #: Distinct labels above this are refused: the model has a column for each.
 LANGUAGES = 512
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Rejected if the entropy exceeds the worst calibrated one by this many bits a character.
-SLACK = 1.0
+SLACK = 2.0
 UNKNOWN = "und"
 
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters that no digit touches: codes and keys say nothing about a language.
+WORDS = re.compile(r"\b[^\W\d_]+\b")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def words_of(text: str) -> list[str]:
+    """The lower-cased words; runs of letters inside codes only where there is nothing else."""
+    text = text.lower()
+    return WORDS.findall(text) or LETTERS.findall(text)
+
+
 def held_out(id_col: Column) -> Column:
     """True for the rows kept from all fitting: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -165,7 +173,7 @@ class Models:
 
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Bits per character of each text and language; nan without letters."""
-        split = [LETTERS.findall(t.lower()) for t in texts]
+        split = [words_of(t) for t in texts]
         known = self.words
         new = list(dict.fromkeys(w for words in split for w in words if w not in known))
         if len(known) + len(new) > REMEMBERED:
@@ -229,10 +237,11 @@ def fit_language_models(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counting = uniform(F.col("_id"), "language-id-half") < 0.7
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("language")
         for batch in batches:
             counts: Counter = Counter()
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.update((lang, w) for w in LETTERS.findall(text.lower()))
+                counts.update((lang, w) for w in words_of(text))
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(counts.values(), pa.int64())], names=["lang", "word", "n"])
 
     counts: dict[str, Counter] = {lang: Counter() for lang in sizes}
@@ -268,6 +277,7 @@ def identify_languages(docs: DataFrame, models: Models, id_col: str = "doc_id",
     schema = f"`{id_col}` {rows.dtypes[0][1]}, lang_pred string, score double, bits_per_char double, rejected boolean"
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("language")
         for whole in batches:
             for batch in slices(whole, 1):
                 found = shared.value.predict([t or "" for t in batch.column(1).to_pylist()])
@@ -283,6 +293,7 @@ def drop_rejected(docs: DataFrame, models: Models, text_col: str = "text") -> Da
     at = docs.columns.index(text_col)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("language")
         for whole in batches:
             for batch in slices(whole, at):
                 found = shared.value.predict([t or "" for t in batch.column(at).to_pylist()])

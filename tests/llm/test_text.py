@@ -211,9 +211,6 @@ def mixed(spark, n=400):
     return clashing(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
-DOMAIN = F.concat_ws("-", F.col("quality").cast("string"), F.col("toxic").cast("string"))
-
-
 def domain():
     return F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("t"), F.col("toxic").cast("string"))
 
@@ -234,7 +231,7 @@ def test_mixing_reaches_the_targets(spark):
 
 def test_rates_equal_plain_projected_gradient(spark):
     rng = np.random.default_rng(7)
-    units = rng.multinomial(mixing.GRID, [0.5, 0.3, 0.2], 200)
+    units = np.array([rng.multinomial(mixing.GRID, rng.dirichlet([0.5, 0.3, 0.2])) for _ in range(200)])
     tokens = rng.integers(1, 100, 200)
     judged = spark.createDataFrame([(int(t), [int(x) for x in u]) for t, u in zip(tokens, units, strict=True)], "_tokens long, _units array<int>")
     domains, targets = ["a", "b", "c"], {"a": 0.2, "b": 0.3, "c": 0.5}
@@ -244,7 +241,7 @@ def test_rates_equal_plain_projected_gradient(spark):
     start = (tokens[:, None] * p).sum(0)
     goal = np.array([0.2, 0.3, 0.5]) * mixing.HEADROOM * start[0] / 0.2
     plain = np.ones(200)
-    for _ in range(200_00):
+    for _ in range(20_000):
         plain = np.maximum(0, plain - p @ (((plain * tokens) @ p - goal) / start))
     loss = lambda r: ((((r * tokens) @ p - goal) ** 2) / start).sum()
     assert (rates >= 0).all() and loss(rates) <= loss(plain) + 1e-3 * goal.sum()
