@@ -1,8 +1,8 @@
 """Mixing towards target weights with soft domain membership.
 
 A labelled table names the domain of some documents.  A multinomial logistic
-regression over the words that occur in several labelled documents, fitted on at
-most ``LABELLED`` of them, gives every document its posterior over the domains.
+regression over the ``FEATURES`` most telling words, fitted on at most ``LABELLED``
+documents a domain, gives every document its posterior over the domains.
 A document then counts towards all domains, by posterior times tokens, and gets a
 rate >= 0; expected domain totals are ``A_k = sum rate * tokens * p_k``.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
@@ -29,18 +30,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from chatloom.llm.shared import cut, slices, uniform
+from chatloom.llm.shared import cut, only, slices, uniform
 
 #: Labelled rows used for fitting, at most about this many a domain.
-LABELLED = 1500
+LABELLED = 700
 DOMAINS = 32
 MIN_DOCUMENTS = 5
-FEATURES = 1 << 15
-RIDGE = 1.0
-EPOCHS = 60
+FEATURES = 512
+RIDGE = 0.3
+EPOCHS = 150
 GRID = 64
-STEPS = 120
-TOLERANCE = 1e-4
+STEPS = 60
+TOLERANCE = 5e-4
 #: Over the total at which a domain just stays whole, so that its documents of nearly certain posterior do too.
 HEADROOM = 1.05
 
@@ -57,29 +58,40 @@ class Classifier:
         self.bias = np.zeros(len(domains))
 
     @classmethod
-    def fit(cls, rows: list[tuple[str, list[str]]]) -> Classifier:
-        """``rows``: (domain, distinct words)."""
+    def fit(cls, rows: list[tuple[str, list[str]]], sizes: Mapping[str, int]) -> Classifier:
+        """``rows``: (domain, distinct words); ``sizes``: labelled documents of each domain, of which ``rows`` are a sample.
+
+        Domains are drawn at different rates; the bias takes that back at the end.
+        """
         own = cls(sorted({d for d, _ in rows}))
         often = Counter(w for _, words in rows for w in words)
-        chosen = sorted((w for w, n in often.items() if n >= MIN_DOCUMENTS), key=lambda w: (-often[w], w))[:FEATURES]
-        own.features = {w: i for i, w in enumerate(chosen)}
         truth = np.zeros((len(rows), len(own.domains)))
         truth[np.arange(len(rows)), [own.domains.index(d) for d, _ in rows]] = 1
+        by_domain = [Counter(w for d, words in rows if d == domain for w in words) for domain in own.domains]
+        share = truth.mean(axis=0)
+
+        def telling(word: str) -> float:
+            """How far the word's documents are from the domains' shares (chi-squared)."""
+            expected = often[word] * share
+            return float((([c[word] for c in by_domain] - expected) ** 2 / expected).sum())
+
+        chosen = sorted((w for w, n in often.items() if n >= MIN_DOCUMENTS), key=lambda w: (-telling(w), w))[:FEATURES]
+        own.features = {w: i for i, w in enumerate(chosen)}
         present = [[own.features[w] for w in words if w in own.features] for _, words in rows]
         row = np.repeat(np.arange(len(rows)), [len(p) for p in present])
         column = np.array([i for p in present for i in p], np.int64)
         own.weights = np.zeros((len(chosen), len(own.domains)))
         own.bias = np.log(truth.mean(axis=0))
-        scale = 1 / np.sqrt(np.bincount(row, minlength=len(rows)) + 1.0)  # long texts hold more words
         seen = np.zeros_like(own.weights)
         seen_bias = np.zeros_like(own.bias)
         for _ in range(EPOCHS):  # gradient steps scaled by past gradients
             wrong = own._softmax(np.stack([np.bincount(row, w[column], len(rows)) for w in own.weights.T], axis=1) + own.bias) - truth
-            steep = np.stack([np.bincount(column, (wrong[:, k] * scale)[row], len(chosen)) for k in range(len(own.domains))], axis=1) + RIDGE * own.weights
+            steep = np.stack([np.bincount(column, wrong[:, k][row], len(chosen)) for k in range(len(own.domains))], axis=1) + RIDGE * own.weights
             seen += steep**2
             seen_bias += wrong.sum(axis=0) ** 2
             own.weights -= 0.3 * steep / np.sqrt(seen + 1e-9)
             own.bias -= 0.1 * wrong.sum(axis=0) / np.sqrt(seen_bias + 1e-9)
+        own.bias += np.log([sizes[d] for d in own.domains]) - np.log(truth.sum(axis=0))
         return own
 
     @staticmethod
@@ -127,7 +139,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, id_col: s
     # The drawn labels number DOMAINS * labelled at most, so sending them to all tasks is bounded.
     drawn = rows.join(F.broadcast(named), rows["_id"] == named["_of"]).select("_domain", "_text").mapInArrow(words, "domain string, words array<string>")
     found = [(r["domain"], r["words"]) for r in drawn.collect()]
-    return Classifier.fit(found) if found else None
+    return Classifier.fit(found, sizes) if found else None
 
 
 def with_posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text", names: tuple[str, str] = ("_tokens", "_units")) -> DataFrame:
@@ -136,6 +148,7 @@ def with_posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "te
     at = docs.columns.index(text_col)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("mixing")
         for whole in batches:
             for batch in slices(whole, at):
                 tokens, units = shared.value.posteriors([t or "" for t in batch.column(at).to_pylist()])
@@ -200,6 +213,8 @@ def fit_rates(judged: DataFrame, domains: list[str], targets: Mapping[str, float
         residual = np.where(start > 0, (at - goal) / np.where(start > 0, start, 1), 0.0)
         history.append([*(float(x) / GRID for x in residual), float((speed - 1) / (speed + 2))])
         at = totals(history, ahead=True)
+    else:
+        warnings.warn(f"the rates miss a target by {np.abs(at - goal).max() / budget:.2%} of all tokens", stacklevel=2)
     return history
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from chatloom.llm.shared import texts
+from chatloom.llm.shared import only, texts
 
 REMEMBERED = 400_000
 LIMIT = 1024
@@ -197,6 +197,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT, i
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(path, pattern)
+        only("tokens", own.chunks.clear)
         for batch in batches:
             sizes, tokens, fits = [], [], []
             for value in batch.column(1):
