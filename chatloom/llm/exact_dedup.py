@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.shared import cut, texts
+from chatloom.llm.shared import apart, cut, texts
 
 #: The characters of [\x20\x09-\x0D].
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -76,8 +76,9 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = found.filter("kept")
     own = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
     key, text = f"c{docs.columns.index(id_col)}", f"c{docs.columns.index(text_col)}"
-    own = own.withColumn("_sha", F.sha2(without_blanks(F.coalesce(text, F.lit(""))), 256))
-    stay = own.join(kept, own[key].eqNullSafe(kept["_keep"]) & (own["_sha"] == kept["_its"]), "left_semi")
+    untouched, others = apart(own, key, found.filter("not kept").select("_keep"))
+    others = others.withColumn("_sha", F.sha2(without_blanks(F.coalesce(text, F.lit(""))), 256))
+    stay = others.join(kept, others[key].eqNullSafe(kept["_keep"]) & (others["_sha"] == kept["_its"]), "left_semi")
     if found.groupBy("_keep", "_its").count().filter("count > 1").take(1):
         stay = stay.dropDuplicates([key, "_sha"])
-    return stay.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return untouched.unionByName(stay.drop("_sha")).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

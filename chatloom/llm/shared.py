@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Hash buckets of keys; their numbers are what a broadcast holds at most.
+BUCKETS = 1 << 18
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where none is named."""
     sc = spark.sparkContext
@@ -50,6 +54,22 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_text"))
 
 
+def apart(rows: DataFrame, key: str, touched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose key is surely not among ``touched`` (one column), and the others.
+
+    Only the others, the touched keys and a few rows that share their hash buckets,
+    have to be joined, so most texts are not shuffled.  What is broadcast is at most
+    ``BUCKETS`` numbers; were all of them touched, all rows would be joined.
+    """
+
+    def bucket(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
+
+    hit = cut(touched.select(bucket(F.col(touched.columns[0])).alias("_bucket")).distinct(), "buckets").withColumn("_hit", F.lit(1))
+    marked = rows.withColumn("_bucket", bucket(F.col(key))).join(F.broadcast(hit), "_bucket", "left")
+    return tuple(marked.filter(which).drop("_bucket", "_hit") for which in ("_hit is null", "_hit is not null"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.components import components
-from chatloom.llm.shared import cut, partitions, texts
+from chatloom.llm.shared import apart, cut, only, partitions, texts
 
 SHINGLE = 4
 SEED = 42
@@ -76,6 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = texts(docs, id_col, text_col)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("simhash")
         for batch in batches:
             found = np.array([fingerprint(v.as_py(), size) for v in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["_id", "_fp"])
@@ -206,12 +207,15 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Rows that repeat an id are one document, of which one row stays; rows without
     an id can't be told apart and stay.
     """
-    found = simhash_components(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep"))
-    found = cut(found.groupBy("_keep").count(), "simhash-decisions")
+    kept = F.col(id_col) == F.col("component_id")
+    found = simhash_components(docs, id_col, text_col).filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_doc"))
+    found = cut(found.agg(F.count(F.when(kept, 1)).alias("kept"), F.count(F.lit(1)).alias("rows")), "simhash-decisions")
+    stays = found.filter("kept > 0")
     own = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
     key = f"c{docs.columns.index(id_col)}"
-    stay = own.join(found, own[key] == found["_keep"], "left_semi")
-    if found.filter("count > 1").take(1):
+    untouched, others = apart(own.filter(F.col(key).isNotNull()), key, found.filter("kept <> 1 or rows <> 1").select("_doc"))
+    stay = others.join(stays, others[key] == stays["_doc"], "left_semi")
+    if stays.filter("rows > 1").take(1):
         stay = stay.dropDuplicates([key])
-    stay = stay.unionByName(own.filter(F.col(key).isNull()))
-    return stay.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    everything = untouched.unionByName(stay).unionByName(own.filter(F.col(key).isNull()))
+    return everything.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

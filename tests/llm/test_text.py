@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chatloom.llm import mixing
-from chatloom.llm.language_id import LETTERS, Models, drop_rejected, fit_language_models, held_out, identify_languages
+from chatloom.llm.language_id import Models, drop_rejected, fit_language_models, held_out, identify_languages
 from chatloom.llm.pieces import Segmenter, decode_pieces, encode_pieces
 from chatloom.llm.token_counts import PrefixCounter, token_counts
 
@@ -52,11 +52,11 @@ def test_counts_equal_the_library(library):
     assert [own.count(t) for t in texts] == [count(library, t) for t in texts]
 
 
-@pytest.mark.parametrize("word", ["interesting", "ééé日本", "thanedble", "aaaaaaaaaa", "'re"])
+@pytest.mark.parametrize("word", ["interesting", "ééé日本", "thanedble", "aaaaaaaaaa"])
 def test_every_prefix(library, word):
     table = PrefixCounter(BPE, PATTERN).table(word.encode())
     for k in range(len(word) + 1):
-        assert table[len(word[:k].encode())] == sum(count(library, p) for p in [word[:k]]) or word.startswith("'")
+        assert table[len(word[:k].encode())] == count(library, word[:k])
 
 
 def test_token_query(spark, docs, rows, library):
@@ -172,7 +172,7 @@ def test_language_accuracy(spark):
     docs = clashing(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4))
     models = fit_language_models(docs)
     found = {r["doc_id"]: r for r in identify_languages(docs, models).collect()}
-    out = [(i, t) for i, t, _ in rows if i is not None and docs.filter(F.col("doc_id") == -1) is not None and LETTERS.search(t or "") and i < 900]
+    out = [(i, t) for i, t, _ in rows if i is not None and i < 900]
     assert sum(found[i]["lang_pred"] == langs[i % 3] for i, _ in out) >= 0.98 * len(out)
     assert all(0 <= r["score"] <= 1 for r in found.values())
     assert {found[i]["lang_pred"] for i in (900, 901, 902)} == {"und"} and found[900]["score"] == 0
