@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from chatloom.llm.lattice import SHORT, Lattice, groups
 from chatloom.llm.shared import only, slices, texts
 
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 N_BEST = 3
 #: Below the lowest score of a piece that ranks merges, as for unknown characters elsewhere.
 UNKNOWN_PENALTY = 10.0
