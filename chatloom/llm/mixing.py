@@ -13,7 +13,9 @@ matrix is column-stochastic), so the step is 1 and needs no tuning; momentum wit
 restarts shortens the way.  Each step is one distributed sum; nothing is stored per document between steps, since a rate
 is the fold of the residuals so far over the document's posterior.  Posteriors
 are kept in steps of 1 / ``GRID``, so documents of equal posterior share a rate
-and are added up once, before the first step, by partial aggregation.
+and are added up once, before the first step, by partial aggregation.  Rounding to
+steps is dithered by a hash of the text, so its expected error is zero, and the
+domain totals add up the posteriors themselves.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from chatloom.llm.shared import cut, only, slices, uniform
 
@@ -99,8 +102,8 @@ class Classifier:
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    def posteriors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens, posteriors in units of 1 / GRID that sum to GRID) of each text."""
+    def posteriors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(tokens, posteriors in units of 1 / GRID that sum to GRID, posteriors) of each text."""
         tokens, scores = np.zeros(len(texts), np.int64), np.tile(self.bias, (len(texts), 1))
         features = self.features
         for i, text in enumerate(texts):
@@ -111,9 +114,11 @@ class Classifier:
                 at.sort()
                 scores[i] += self.weights[at].sum(axis=0)
         p = self._softmax(scores) if len(texts) else scores
-        units = np.floor(p * GRID).astype(np.int32)
-        units[np.arange(len(texts)), p.argmax(axis=1)] += GRID - units.sum(axis=1)
-        return tokens, units
+        dither = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), GRID) >> 11 for t in texts], np.float64) / (1 << 53)
+        ends = np.floor(np.cumsum(p, axis=1) * GRID + dither[:, None])
+        ends[:, -1] = GRID
+        units = np.diff(ends, axis=1, prepend=0).astype(np.int32)
+        return tokens, units, p
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", labelled: int = LABELLED) -> Classifier | None:
@@ -142,8 +147,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, id_col: s
     return Classifier.fit(found, sizes) if found else None
 
 
-def with_posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text", names: tuple[str, str] = ("_tokens", "_units")) -> DataFrame:
-    """``docs`` with two more columns: tokens, and posteriors in units of 1 / GRID."""
+def with_posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text", names: tuple[str, str, str] = ("_tokens", "_units", "_p")) -> DataFrame:
+    """``docs`` with three more columns: tokens, posteriors in units of 1 / GRID, and posteriors."""
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
     at = docs.columns.index(text_col)
 
@@ -151,11 +156,12 @@ def with_posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "te
         only("mixing")
         for whole in batches:
             for batch in slices(whole, at):
-                tokens, units = shared.value.posteriors([t or "" for t in batch.column(at).to_pylist()])
+                tokens, units, p = shared.value.posteriors([t or "" for t in batch.column(at).to_pylist()])
                 listed = pa.FixedSizeListArray.from_arrays(pa.array(units.ravel(), pa.int32()), units.shape[1]).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens), listed], names=[*batch.schema.names, *names])
+                exact = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel(), pa.float64()), p.shape[1]).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens), listed, exact], names=[*batch.schema.names, *names])
 
-    schema = StructType([*docs.schema.fields, StructField(names[0], LongType()), StructField(names[1], ArrayType(IntegerType()))])
+    schema = StructType([*docs.schema.fields, StructField(names[0], LongType()), StructField(names[1], ArrayType(IntegerType())), StructField(names[2], ArrayType(DoubleType()))])
     return docs.mapInArrow(judged, schema)
 
 
@@ -185,13 +191,16 @@ def fit_rates(judged: DataFrame, domains: list[str], targets: Mapping[str, float
     ``targets`` are weights per domain, scaled to 1 over the domains that have
     tokens; a domain not named has weight 0.  The wanted total is the one at which
     the domain ``whole`` stays whole, times HEADROOM; without such a domain, the
-    one scarcest for its weight.
+    one scarcest for its weight.  Totals are of the posteriors ``_p``; of the units where
+    ``judged`` has none.
     """
-    cells = cut(judged.groupBy("_units").agg(F.sum("_tokens").alias("_tokens")), "mixing-cells")
+    exact = "_p" in judged.columns
+    held = [F.sum(F.col("_tokens") * (F.col("_p")[k] if exact else F.col("_units")[k] / GRID)) for k in range(len(domains))]
+    cells = cut(judged.groupBy("_units").agg(F.array(*held).alias("_held")), "mixing-cells")
 
     def totals(history: list[list[float]], ahead: bool = False) -> np.ndarray:
-        mass = F.col("_tokens") * _rate(F.col("_units"), history, ahead) / GRID
-        row = cells.agg(*[F.sum(mass * F.col("_units")[k]) for k in range(len(domains))]).first()
+        rate = _rate(F.col("_units"), history, ahead)
+        row = cells.agg(*[F.sum(rate * F.col("_held")[k]) for k in range(len(domains))]).first()
         return np.array([x or 0.0 for x in row])
 
     start = totals([])
@@ -237,8 +246,8 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: Mapping[str
     return judged.select(
         F.col("_id").alias(id_col),
         F.col("_tokens").alias("n_tokens"),
-        names[F.array_position("_units", F.array_max("_units")).cast("int") - 1].alias("domain"),
-        F.map_from_arrays(names, F.transform("_units", lambda u: u / F.lit(float(GRID)))).alias("posteriors"),
+        names[F.array_position("_p", F.array_max("_p")).cast("int") - 1].alias("domain"),
+        F.map_from_arrays(names, F.col("_p")).alias("posteriors"),
         _rate(F.col("_units"), history).alias("rate"),
     )
 
@@ -254,7 +263,7 @@ def sample_mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: Mapp
         return docs
     own = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
     judged = with_posteriors(own, classifier, f"c{docs.columns.index(text_col)}")
-    history = fit_rates(judged.select("_tokens", "_units"), classifier.domains, targets, whole)
+    history = fit_rates(judged.select("_tokens", "_units", "_p"), classifier.domains, targets, whole)
     key = F.col(f"c{docs.columns.index(id_col)}")
     drawn = F.when(key.isNull(), F.lit(1.0 - 1e-12)).otherwise(uniform(key, "mixing-draw"))
     kept = judged.filter(drawn < _rate(F.col("_units"), history))
