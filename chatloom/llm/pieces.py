@@ -8,10 +8,11 @@ takes segmentations off its queue in order of score, best first.
 
 No piece holds the blank mark after another character or joins letters to other
 characters (both checked on loading), and characters outside the vocabulary stand
-alone as bytes.  Each path therefore passes the nodes between words: the search
-runs once per distinct word, and a text's N best are the N best sums over its
-words, found by the same search over the few words whose second choice costs
-least.  At most ``REMEMBERED`` words are kept.
+alone as bytes.  Each path therefore passes the nodes between words, and a text's N
+best are the N best sums over its words.  ``learn`` finds the best segmentation of
+words up to ``SHORT`` characters, and how much less the second best scores, by a dense
+forward and backward pass over many words at once; the search with A* runs for
+other words, and for the few words of a text whose second choice costs least.  At most ``REMEMBERED`` words are kept.
 
 The order is fully defined.  Within a word: higher score, then longer last piece,
 then longer piece before it, and so on.  In a text: higher score, then departing
