@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.shared import apart, cut, texts
+from chatloom.llm.shared import apart, at, cut, positional, quoted, renamed, texts
 
 #: The characters of [\x20\x09-\x0D].
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -71,14 +71,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, the one ``exact_dedup`` keeps; columns as they were."""
-    found = cut(exact_dedup(docs, id_col, text_col, digest=True).select(F.col(id_col).alias("_keep"), "kept", F.col("text_sha256").alias("_its")), "dedup-decisions")
-    kept = found.filter("kept")
-    own = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    key, text = f"c{docs.columns.index(id_col)}", f"c{docs.columns.index(text_col)}"
-    untouched, others = apart(own, key, found.filter("not kept").select("_keep"))
+    """``docs`` with one row of each group of equal texts, the one ``exact_dedup`` keeps; columns as they were.
+
+    Nulls, empty texts, ties, repeated rows and an empty table are as there.  Only
+    rows that lose, and the few that share a bit of the bitmap with one, are hashed
+    again and joined.
+    """
+    found = exact_dedup(docs, id_col, text_col).filter("text_sha256 is not null")
+    found = cut(found.select(F.col(quoted(id_col)).alias("_keep"), "kept", F.col("text_sha256").alias("_its")), "dedup-decisions")
+    each = found.groupBy("_keep", "_its").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows")).filter("not stays or rows > 1")
+    each = cut(each, "dedup-touched")
+    own, key, text = positional(docs), at(docs, id_col), at(docs, text_col)
+    untouched, others = apart(own, key, each.select("_keep"))
     others = others.withColumn("_sha", F.sha2(without_blanks(F.coalesce(text, F.lit(""))), 256))
-    stay = others.join(kept, others[key].eqNullSafe(kept["_keep"]) & (others["_sha"] == kept["_its"]), "left_semi")
-    if found.groupBy("_keep", "_its").count().filter("count > 1").take(1):
+    gone = each.filter("not stays")
+    stay = others.join(gone, others[key].eqNullSafe(gone["_keep"]) & (others["_sha"] == gone["_its"]), "left_anti")
+    if each.filter("stays").take(1):
         stay = stay.dropDuplicates([key, "_sha"])
-    return untouched.unionByName(stay.drop("_sha")).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return renamed(untouched.unionByName(stay.drop("_sha")), docs)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.components import components
-from chatloom.llm.shared import apart, cut, only, partitions, texts
+from chatloom.llm.shared import apart, at, cut, only, partitions, positional, renamed, texts
 
 SHINGLE = 4
 SEED = 42
@@ -205,17 +205,17 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """``docs`` with one row of each component, that of the smallest id; columns as they were.
 
     Rows that repeat an id are one document, of which one row stays; rows without
-    an id can't be told apart and stay.
+    an id can't be told apart and stay.  Null and empty texts and an empty table are
+    as in ``simhash_components``.
     """
     kept = F.col(id_col) == F.col("component_id")
     found = simhash_components(docs, id_col, text_col).filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_doc"))
-    found = cut(found.agg(F.count(F.when(kept, 1)).alias("kept"), F.count(F.lit(1)).alias("rows")), "simhash-decisions")
-    stays = found.filter("kept > 0")
-    own = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    key = f"c{docs.columns.index(id_col)}"
-    untouched, others = apart(own.filter(F.col(key).isNotNull()), key, found.filter("kept <> 1 or rows <> 1").select("_doc"))
-    stay = others.join(stays, others[key] == stays["_doc"], "left_semi")
-    if stays.filter("rows > 1").take(1):
-        stay = stay.dropDuplicates([key])
-    everything = untouched.unionByName(stay).unionByName(own.filter(F.col(key).isNull()))
-    return everything.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    found = found.agg(F.max(kept).alias("stays"), F.count(F.lit(1)).alias("rows")).filter("not stays or rows > 1")
+    found = cut(found, "simhash-touched")
+    key = at(docs, id_col)
+    untouched, others = apart(positional(docs), key, found.select("_doc"))
+    gone = found.filter("not stays")
+    stay = others.join(gone, others[key] == gone["_doc"], "left_anti")
+    if found.filter("stays").take(1):
+        stay = stay.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(stay.filter(F.col(key).isNull()))
+    return renamed(untouched.unionByName(stay), docs)

@@ -10,7 +10,8 @@ import duckdb
 import pytest
 from helpers import SCHEMA, WORDS, documents
 from pyspark.sql import functions as F
-from test_dedup import joined, normal, plain_fingerprint
+from test_dedup import joined, normal
+from test_near import shingles, similar
 
 import corpus_pipeline
 from chatloom.llm import queries as Q
@@ -71,10 +72,13 @@ def test_stages(spark, folder):
         rank = (-len(r["text"]), r["doc_id"] is None, r["doc_id"] or 0)
         best[normal(r["text"])] = min(best.get(normal(r["text"]), (rank, r)), (rank, r), key=lambda x: x[0])
     assert sorted(map(repr, kept["exact"])) == sorted(repr(r) for _, r in best.values())
-    prints = {r: plain_fingerprint(r["text"]) for r in kept["exact"]}
-    near = joined([(p, p) for p in prints.values()] + [(p, q) for p, q in combinations(set(prints.values()), 2) if (p ^ q).bit_count() <= 4])
-    least = {c: min((r["doc_id"] for r, p in prints.items() if near[p] == c and r["doc_id"] is not None), default=None) for c in near.values()}
-    assert sorted(map(repr, kept["near"])) == sorted(repr(r) for r, p in prints.items() if r["doc_id"] is None or r["doc_id"] == least[near[p]])
+    sets = {r: shingles(r["text"]) for r in kept["exact"]}
+    near = joined([(r, r) for r in sets] + [(r, q) for r, q in combinations(sets, 2) if similar(sets[r], sets[q])])
+    first = {}
+    for r, c in near.items():
+        rank = (r["doc_id"] is None, r["doc_id"] or 0)
+        first[c] = min(first.get(c, (rank, r)), (rank, r), key=lambda x: x[0])
+    assert sorted(map(repr, kept["near"])) == sorted(repr(r) for _, r in first.values())
 
     thin = spark.createDataFrame(kept["near"], docs.schema)
     rated = mix(thin, Q.table(spark, folder, "labels"), Q.domain(), Q.TARGETS, Q.CLEAN).filter("doc_id is not null")
