@@ -1,13 +1,17 @@
 """Token counts by prefix dynamic programming over a byte-level BPE vocabulary.
 
-For one pre-token the table holds, at every byte prefix, the last token of that
-prefix's own encoding and its exact token count: ``count[k] = count[k - len] + 1``
-where the last token is the only vocabulary entry ending at ``k`` that the merge
-rules leave beside the last token before it.  Pre-tokens encode independently, so
-a text's table is the running sum of its pre-tokens' tables, and both "how many
-tokens has this prefix" and "how much fits in a budget" are lookups; nothing is
-encoded a second time.  Whole-corpus cost is kept down by remembering the count
-of each blank-delimited chunk and pre-token, in tables of at most ``REMEMBERED`` entries.
+For one pre-token the table holds, at every byte prefix, the exact token count of
+that prefix's own encoding: ``count[k] = count[k - len] + 1`` where the last token is
+the only vocabulary entry ending at ``k`` that the merge rules leave beside the last
+token before it.  Pre-tokens encode independently, so a text's table is the running
+sum of its pre-tokens' tables, and both "how many tokens has this prefix" and "how
+much fits in a budget" are lookups in tables that are kept: ``fits`` encodes nothing.
+
+Pre-tokens end at single blanks and line ends between other characters, so texts are
+cut there in Arrow, equal chunks of a batch are counted once, and a text's running
+sum is a sum over the numbers of its chunks.  A table's entry depends on nothing
+behind it, so new pre-tokens are taken in order and share the entries of common
+prefixes.  Tables are remembered in at most about ``REMEMBERED`` bytes.
 
 Counts equal the ``tokenizers`` library's for the same file, without added begin
 or end tokens; strings of special tokens inside a text count as that one token,
@@ -17,19 +21,34 @@ the library's default.
 from __future__ import annotations
 
 import json
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from chatloom.llm.shared import only, texts
+from chatloom.llm.shared import only, quoted, slices, texts
 
-REMEMBERED = 400_000
+#: Bytes of what is remembered, as ``_size`` estimates them.
+REMEMBERED = 192 << 20
+#: Longer pre-tokens (in characters) are not remembered.
+LONG = 256
 LIMIT = 1024
+#: Characters that stand alone as a pre-token behind letters, at the end of a chunk.
+SINGLE = frozenset(".,;:!?")
+#: Bytes of text whose chunks are taken together.
+TOGETHER = 1 << 24
+
+
+def _size(word: str) -> int:
+    """Bytes that a remembered word takes, about: the string, a table as long as it, and its place in a dictionary."""
+    return 240 + 3 * len(word)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -60,16 +79,39 @@ class PrefixCounter:
             self.number[to_bytes[a] + to_bytes[b]] = n
             self.left.append(x)
             self.right.append(y)
-        self.longest = max(map(len, self.number))
+        # The tokens by their last bytes: a tree whose edges are ``node * 256 + byte``, and the token that a node stands for.
+        self.before: dict[int, int] = {}
+        self.token = [-1]
+        for word, n in self.number.items():
+            node = 0
+            for byte in reversed(word):
+                node = self.before.setdefault(node << 8 | byte, len(self.token))
+                if node == len(self.token):
+                    self.token.append(-1)
+            self.token[node] = n
         self.split = regex.compile(pattern).findall
         specials = [t["content"] for t in spec.get("added_tokens", [])]
+        self.special_strings = specials
         self.specials = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         self.beside = lru_cache(1 << 18)(self._beside)
-        self.chunks: dict[str, int] = {}
-        self.pieces: dict[str, int] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        # What has been used lately, and what was before; the latter goes when the former is full.
+        self.kept: dict[str, bytes | array] = {}
+        self.older: dict[str, bytes | array] = {}
+        self.held = 0
 
     def _beside(self, a: int, b: int) -> bool:
-        """Whether token ``b`` can follow ``a``: no merge across the seam comes before those that made them."""
+        """Whether token ``b`` can follow ``a``: no merge across the seam comes before those that made them.
+
+        The merges that made ``a`` and ``b`` are undone, the latest first; tokens are
+        numbered by rank, so the larger number is the later merge.  At each point in
+        time the two tokens that touch the seam are known; had a pair of them a merge
+        earlier than ``rank``, the merge undone last, the library would have taken it
+        across the seam, and the two tokens would not stand side by side.  ``b + 1`` and
+        ``a`` as the new rank settle ties: of equal ranks the one to the left comes first.
+        """
         merged, left, right = self.merged, self.left, self.right
         rank = len(left)
         while True:
@@ -88,35 +130,80 @@ class PrefixCounter:
                     if a == rank:
                         return True
 
+    def extend(self, piece: bytes, last: list[int], count: list[int]) -> None:
+        """Appends what is missing of the last tokens and the counts at every prefix of ``piece``."""
+        before, token, beside = self.before.get, self.token, self.beside
+        for end in range(len(count), len(piece) + 1):
+            node, start, starts, tokens = 0, end, [], []
+            while start and (node := before(node << 8 | piece[start - 1])):
+                start -= 1
+                if (t := token[node]) >= 0:
+                    starts.append(start)
+                    tokens.append(t)
+            while (start := starts.pop()) and not beside(last[start], tokens[-1]):
+                tokens.pop()
+            last.append(tokens[-1])
+            count.append(count[start] + 1)
+
     def table(self, piece: bytes) -> list[int]:
         """Token counts of ``piece[:0], piece[:1], ...``, each prefix encoded on its own."""
-        number, beside, longest = self.number, self.beside, self.longest
         last, count = [-1], [0]
-        for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - longest), end):
-                token = number.get(piece[start:end])
-                if token is not None and (start == 0 or beside(last[start], token)):
-                    last.append(token)
-                    count.append(count[start] + 1)
-                    break
+        self.extend(piece, last, count)
         return count
 
-    def piece(self, piece: str) -> int:
-        found = self.pieces.get(piece)
+    def tables(self, pieces: set[str]) -> dict[str, bytes | array]:
+        """The tables of these pre-tokens, in order, so that common prefixes are encoded once."""
+        found, last, count, previous = {}, [-1], [0], b""
+        for data, piece in sorted([(p.encode(), p) for p in pieces]):
+            same = 0
+            for x, y in zip(data, previous):  # noqa: B905  as far as both go
+                if x != y:
+                    break
+                same += 1
+            del last[same + 1 :], count[same + 1 :]
+            self.extend(data, last, count)
+            previous = data
+            found[piece] = bytes(count) if len(count) < 256 else array("I", count)
+        return found
+
+    def hold(self, piece: str, table: bytes | array) -> bytes | array:
+        if len(piece) <= LONG:
+            self.held += _size(piece)
+            if self.held > REMEMBERED // 2:
+                self.older, self.kept, self.held = self.kept, {}, _size(piece)
+            self.kept[piece] = table
+        return table
+
+    def of(self, piece: str) -> bytes | array:
+        """The table of a pre-token, remembered."""
+        found = self.kept.get(piece)
         if found is None:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            found = self.pieces[piece] = self.table(piece.encode())[-1]
+            found = self.older.get(piece)
+            found = self.hold(piece, array("I", self.table(piece.encode())) if found is None else found)
         return found
 
     def chunk(self, chunk: str) -> int:
         """Tokens of a text without special tokens."""
-        found = self.chunks.get(chunk)
-        if found is None:
-            if len(self.chunks) >= REMEMBERED:
-                self.chunks.clear()
-            found = self.chunks[chunk] = sum(map(self.piece, self.split(chunk)))
-        return found
+        return sum([self.of(p)[-1] for p in self.split(chunk)])
+
+    def pieces(self, chunk: str, blank: str) -> list[str]:
+        """The pre-tokens of ``blank + chunk``, a chunk without blanks."""
+        if chunk.isalpha():
+            return [blank + chunk]
+        if chunk[-1:] in SINGLE and chunk[:-1].isalpha():
+            return [blank + chunk[:-1], chunk[-1]]
+        return self.split(blank + chunk)
+
+    def counts(self, chunks: list[str], blank: str) -> np.ndarray:
+        """Tokens of each chunk, a blank in front."""
+        split = [self.pieces(c, blank) for c in chunks]
+        new = set(chain.from_iterable(split))
+        used = {p: t for p in new if (t := self.kept.get(p) or self.older.get(p)) is not None}
+        new.difference_update(used)
+        used |= self.tables(new)
+        for piece in used.keys() - self.kept.keys():
+            self.hold(piece, used[piece])
+        return np.fromiter((sum([used[p][-1] for p in own]) for own in split), np.int64, len(split))
 
     def parts(self, text: str) -> Iterator[tuple[str, bool]]:
         """The text cut at special tokens; true marks those."""
@@ -130,53 +217,87 @@ class PrefixCounter:
         if at < len(text):
             yield text[at:], False
 
-    def chunks_of(self, text: str) -> list[str]:
-        """Cuts at single blanks between other characters, where pre-tokens always end."""
-        cut = text.split(" ")
-        if len(cut) > 1 and all(p and not p[0].isspace() and not p[-1].isspace() for p in cut):
-            return [cut[0], *[" " + p for p in cut[1:]]]
-        return self.split(text)
-
-    def running(self, text: str) -> tuple[list[int], list[int], list[str]]:
-        """Ends of the chunks in code points, tokens up to each, and the chunks."""
-        chunks, counts = [], []
-        for part, special in self.parts(text):
-            own = [part] if special else self.chunks_of(part)
-            chunks += own
-            counts += [1] if special else map(self.chunk, own)
-        return list(accumulate(map(len, chunks))), list(accumulate(counts)), chunks
+    def prefixes(self, text: str) -> list[int]:
+        """The text's table: tokens of its first 0, 1, 2, ... bytes, the last pre-token of each encoded as far as it goes.
 
-    def count(self, text: str) -> int:
-        known, total = self.chunks, 0
+        Inside a special token's string the count is that before it.
+        """
+        out, total = [0], 0
         for part, special in self.parts(text):
             if special:
+                out += [total] * (len(part.encode()) - 1) + [total + 1]
                 total += 1
                 continue
-            chunks = self.chunks_of(part)
-            try:
-                total += sum([known[c] for c in chunks])
-            except KeyError:
-                total += sum(map(self.chunk, chunks))
-        return total
+            for piece in self.split(part):
+                table = self.of(piece)
+                out += [total + n for n in table[1:]]
+                total += table[-1]
+        return out
+
+    def count(self, text: str) -> int:
+        return sum(1 if special else self.chunk(part) for part, special in self.parts(text))
 
     def fits(self, text: str, budget: int) -> int:
-        """Code points of the longest run of whole pre-tokens, then bytes of the next, within ``budget`` tokens."""
-        ends, counts, chunks = self.running(text)
-        k = bisect_right(counts, budget)
-        if k == len(chunks):
-            return len(text)
-        at, left = (ends[k - 1], budget - counts[k - 1]) if k else (0, budget)
-        if self.specials is not None and self.specials.fullmatch(chunks[k]):
-            return at
-        for piece in self.split(chunks[k]):
-            table = self.table(piece.encode())
-            if table[-1] <= left:
-                at, left = at + len(piece), left - table[-1]
+        """Code points of the longest run of whole pre-tokens, then characters of the next, within ``budget`` tokens."""
+        at = 0
+        for part, special in self.parts(text):
+            if special:
+                if not budget:
+                    return at
+                at, budget = at + len(part), budget - 1
                 continue
-            whole = accumulate(len(c.encode()) for c in piece)
-            return at + max((i for i, b in enumerate(whole, 1) if table[b] <= left), default=0)
+            for piece in self.split(part):
+                table = self.of(piece)
+                if table[-1] > budget:
+                    ends = accumulate(len(c.encode()) for c in piece)
+                    return at + max((i for i, b in enumerate(ends, 1) if table[b] <= budget), default=0)
+                at, budget = at + len(piece), budget - table[-1]
         return at
 
+    def together(self, batch: pa.StringArray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, code points that fit ``limit``) of each text."""
+        lines = pc.split_pattern(batch, "\n")
+        line_ends = lines.offsets.to_numpy().astype(np.int64)
+        listed = pc.split_pattern(lines.flatten(), " ")
+        chunk_ends = listed.offsets.to_numpy().astype(np.int64)
+        line_ends, chunk_ends = line_ends - line_ends[0], chunk_ends - chunk_ends[0]
+        ends = chunk_ends[line_ends]  # of the texts' chunks
+        coded = listed.flatten().dictionary_encode()
+        code, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        # A cut is one between pre-tokens if characters other than blanks stand on both sides.
+        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
+        slow = np.add.reduceat(odd[code].astype(np.int32), ends[:-1]) > 0
+        for special in self.special_strings:
+            slow |= pc.match_substring(batch, special).to_numpy(zero_copy_only=False)
+        # A line's first chunk has no blank in front, but the line end, which is a token, unless it is the text's first.
+        opening = chunk_ends[:-1]
+        first = np.zeros(len(code), bool)
+        first[opening] = True
+        tokens = np.zeros(len(code), np.int64)
+        for which, blank in ((~first, " "), (first, "")):
+            used = np.unique(code[which])
+            of_word = np.zeros(len(words), np.int64)
+            of_word[used] = self.counts([words[c] for c in used.tolist()], blank)
+            tokens[which] = of_word[code[which]]
+        tokens[opening] += 1
+        tokens[ends[:-1]] -= 1
+        totals = np.add.reduceat(tokens, ends[:-1])
+        fits = pc.utf8_length(batch).to_numpy().astype(np.int64)
+        points = pc.utf8_length(coded.dictionary).to_numpy().astype(np.int64)
+        for i in np.flatnonzero(slow).tolist():
+            totals[i] = self.count(batch[i].as_py())
+        for i in np.flatnonzero(totals > limit).tolist():
+            if slow[i]:
+                fits[i] = self.fits(batch[i].as_py(), limit)
+                continue
+            own = code[ends[i] : ends[i + 1]]
+            running = np.cumsum(tokens[ends[i] : ends[i + 1]])
+            k = bisect_right(running, limit)
+            before = int((points[own[:k]] + 1).sum()) - (k > 0)  # a blank or line end before all but the first
+            between = "" if not k else "\n" if first[ends[i] + k] else " "
+            fits[i] = before + self.fits(between + words[own[k]], limit - (int(running[k - 1]) if k else 0))
+        return totals, fits
+
 
 @lru_cache(4)
 def counter(path: str, pattern: str) -> PrefixCounter:
@@ -193,22 +314,15 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT, i
     """
     rows = texts(docs, id_col, text_col)
     kind = rows.schema["_id"].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean, fit_chars bigint"
+    schema = f"{quoted(id_col)} {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean, fit_chars bigint"
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(path, pattern)
-        only("tokens", own.chunks.clear)
-        for batch in batches:
-            sizes, tokens, fits = [], [], []
-            for value in batch.column(1):
-                text = value.as_py()
-                n = own.count(text)
-                sizes.append(value.as_buffer().size)
-                tokens.append(n)
-                fits.append(own.fits(text, limit) if n > limit else len(text))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens], pa.bool_()), pa.array(fits, pa.int64())],
-                names=[id_col, "n_bytes", "n_tokens", "over_limit", "fit_chars"],
-            )
+        only("tokens", own.forget)
+        for whole in batches:
+            for batch in slices(whole, 1, TOGETHER):
+                tokens, fits = own.together(batch.column(1), limit)
+                sizes = pc.cast(pc.binary_length(batch.column(1)), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(tokens), pa.array(tokens > limit), pa.array(fits)], names=[id_col, "n_bytes", "n_tokens", "over_limit", "fit_chars"])
 
     return rows.mapInArrow(counted, schema)

@@ -4,9 +4,11 @@ import hashlib
 import itertools
 import math
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from helpers import SCHEMA, WORDS, clashing, documents, sentence
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chatloom.llm import mixing
+from chatloom.llm import pieces as pieces_module
+from chatloom.llm import token_counts as token_counts_module
 from chatloom.llm.language_id import Models, drop_rejected, fit_language_models, held_out, identify_languages
 from chatloom.llm.pieces import Segmenter, decode_pieces, encode_pieces
 from chatloom.llm.token_counts import PrefixCounter, token_counts
@@ -59,6 +63,33 @@ def test_every_prefix(library, word):
         assert table[len(word[:k].encode())] == count(library, word[:k])
 
 
+@pytest.mark.parametrize("limit", [0, 7, 1024])
+def test_texts_together(library, limit):
+    own = PrefixCounter(BPE, PATTERN)
+    texts = [*odd_texts(800, 3), "", " ", "a\nb c", "x.\nFoo bar, baz!", "it's\nno's", "a\n\nb", " a", "a "]
+    counts, fits = own.together(pa.array(texts), limit)
+    assert counts.tolist() == [count(library, t) for t in texts]
+    for t, n, k in zip(texts, counts.tolist(), fits.tolist(), strict=True):
+        assert k == (own.fits(t, limit) if n > limit else len(t)) and count(library, t[:k]) <= limit
+
+
+def test_prefixes_of_a_text(library):
+    own, text = PrefixCounter(BPE, PATTERN), "The interesting cat's\nmarché, 22"
+    table = own.prefixes(text)
+    assert len(table) == len(text.encode()) + 1
+    for k in range(len(text) + 1):
+        if text[:k][-1:] != " ":  # a blank at the end belongs to the next pre-token
+            assert table[len(text[:k].encode())] == count(library, text[:k])
+
+
+def test_few_bytes_remembered(library, monkeypatch):
+    monkeypatch.setattr(token_counts_module, "REMEMBERED", 3000)
+    own, texts = PrefixCounter(BPE, PATTERN), odd_texts(300, 5)
+    for at in range(0, 300, 50):
+        assert own.together(pa.array(texts[at : at + 50]), 5)[0].tolist() == [count(library, t) for t in texts[at : at + 50]]
+        assert len(own.kept) + len(own.older) < 40
+
+
 def test_token_query(spark, docs, rows, library):
     found = token_counts(docs, BPE, PATTERN, limit=20).collect()
     expected = [(r[0], len((r[1] or "").encode()), count(library, r[1] or "")) for r in rows]
@@ -116,9 +147,22 @@ def test_long_words_and_round_trips(segmenter):
                 assert library.decode(ids) == text
 
 
+def test_library_ids(segmenter, monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    monkeypatch.setattr(pieces_module, "REMEMBERED", 20_000)
+    texts = [t for t in [*odd_texts(600, 9), "The cat sat,\nand sat.", "a  b", "\n", " x", "x ", "\x00"] if "▁" not in t]
+    for at in range(0, len(texts), 100):
+        words, back = segmenter.together(pa.array(texts[at : at + 100]))
+        ends = np.cumsum(words.sizes)
+        assert back.all() and len(segmenter.known) < 200
+        for t, a, b in zip(texts[at : at + 100], [0, *ends], ends, strict=False):
+            assert segmenter.library.take(words.flat[a:b]).flat.tolist() == library.encode(t)
+    segmenter.clear()
+
+
 def test_pieces_query(spark, docs, rows):
     found = encode_pieces(docs, PIECES)
-    assert all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) for r in found.collect())
+    assert all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) and r["n_library"] == len(r["library_ids"]) for r in found.collect())
     back = sorted((r["text"] for r in decode_pieces(found, PIECES).collect()))
     assert back == sorted(r[1] or "" for r in rows)
     r = found.filter("doc_id = 1003").first()
@@ -127,41 +171,83 @@ def test_pieces_query(spark, docs, rows):
     assert encode_pieces(docs.limit(0), PIECES).count() == 0
 
 
+class PlainKneserNey:
+    """Interpolated Kneser-Ney of order 4 in dictionaries of strings, straight from the formulas."""
+
+    def __init__(self, counts, alphabet_size):
+        self.floor = 1.0 / (alphabet_size + 1)
+        self.counts = [defaultdict(Counter) for _ in range(4)]  # by order: context -> letter -> count
+        for word, n in counts.items():
+            line = "   " + word + " "
+            for i in range(3, len(line)):
+                self.counts[3][line[i - 3 : i]][line[i]] += n
+        for order in (2, 1, 0):  # a lower order counts the different letters to the left
+            for context, letters in self.counts[order + 1].items():
+                for letter in letters:
+                    self.counts[order][context[1:]][letter] += 1
+        self.discounts = []
+        for order in range(4):
+            all_counts = [n for letters in self.counts[order].values() for n in letters.values()]
+            ones, twos = all_counts.count(1), all_counts.count(2)
+            self.discounts.append(ones / (ones + 2 * twos) if ones and twos else 0.5)
+
+    def p(self, context, letter, order=3):
+        if order < 0:
+            return self.floor
+        letters, d = self.counts[order].get(context), self.discounts[order]
+        lower = self.p(context[1:], letter, order - 1)
+        if letters is None:
+            return lower
+        total = sum(letters.values())
+        return max(letters[letter] - d, 0) / total + d * len(letters) / total * lower
+
+    def bits(self, word):
+        line = "   " + word + " "
+        return sum(-math.log2(self.p(line[i - 3 : i], line[i])) for i in range(3, len(line)))
+
+
+COUNTS = {"en": Counter({"the": 5, "then": 2, "than": 1, "cat": 2, "ten": 1}), "de": Counter({"der": 4, "den": 3, "dort": 1, "ä": 1})}
+
+
+def test_kneser_ney_against_dictionaries():
+    own, letters = Models.fit(COUNTS), {c for words in COUNTS.values() for w in words for c in w} | {" "}
+    plain = [PlainKneserNey(COUNTS[lang], len(letters)) for lang in own.languages]
+    words = ["the", "then", "cat", "xyz", "t", "thederän", "ä", "nehtnehtneht"]
+    assert np.abs(own.bits(words) - [[m.bits(w) for m in plain] for w in words]).max() < 1e-9
+    for text in ["the cat", "der then xyz"]:
+        split = text.split()
+        n = sum(map(len, split)) + len(split)
+        assert np.abs(own.entropies([text])[0] - [sum(map(m.bits, split)) / n for m in plain]).max() < 1e-9
+
+
 def test_kneser_ney_sums_to_one():
-    from collections import Counter
-
-    own = Models.fit({"en": Counter({"the": 5, "then": 2, "than": 1, "cat": 2}), "de": Counter({"der": 4, "den": 3})})
-    alphabet = sorted(set("thencatdr"))
-    for prefix in ["", "t", "th", "the", "q"]:
-        # Words of a prefix, one more letter, and an end: the letter's probabilities and the end's after the prefix add up.
-        mass = np.zeros(2)
-        base = own.bits([prefix]) if prefix else np.zeros((1, 2))
-        ends = own.bits([prefix + c for c in alphabet])
-        for row, c in zip(ends, alphabet, strict=True):
-            mass += 2.0 ** -(row - prefix_bits(own, prefix) - end_bits(own, prefix + c))
-        mass += 2.0 ** -(base[0] - prefix_bits(own, prefix)) if prefix else 0
-        assert (mass <= 1 + 1e-9).all() and (mass > 0.5).all()
-
-
-def prefix_bits(own, prefix):
-    """Bits of the letters alone: those of the word less those of its end."""
-    return own.bits([prefix])[0] - end_bits(own, prefix) if prefix else np.zeros(2)
-
-
-def end_bits(own, word):
-    """Bits of the end after a word, from the model's own recurrence, one position at a time."""
-    from chatloom.llm.language_id import ORDER, _grams
-
-    hashes, _, _ = _grams([word])
-    p = own.floor * own.root
-    for n in range(ORDER):
-        at, found = own._find(n, hashes[n][-1:])
-        if n:
-            before, seen = own._find(n - 1, hashes[n - 1][-2:-1])
-            p = p * (own.back[n - 1][before[0]] if seen[0] else 1.0)
-        if found[0]:
-            p = p + own.mass[n][at[0]]
-    return -np.log2(p)
+    letters = sorted({c for words in COUNTS.values() for w in words for c in w} | {" "})
+    for words in COUNTS.values():
+        model = PlainKneserNey(words, len(letters))
+        for context in ["   ", "  t", "the", "en ", "qqq", "ord"]:
+            # The floor gives each letter, and one unknown letter, the same share.
+            assert abs(sum(model.p(context, c) for c in letters) + model.p(context, "?") - 1) < 1e-9
+
+
+def test_language_ties_repeats_and_letters(spark):
+    docs = spark.createDataFrame([(i, t, lang) for i in range(60) for t, lang in (("the cat sat", "en"), ("the cat sat", "de"))], "doc_id long, text string, lang string")
+    models = fit_language_models(docs)
+    asked = [(1, "the cat"), (1, "the cat"), (None, "the cat"), (2, "½ ² ① 12"), (3, None), (4, ""), (5, "cat " * 40_000), (6, "x9y")]
+    found = identify_languages(clashing(spark.createDataFrame(asked, "doc_id long, text string")), models).collect()
+    got = sorted((str(r["doc_id"]), r["lang_pred"]) for r in found)
+    # Equal models: the first language by name; no letters: und.  Letters beside digits count.
+    assert got == [("1", "de"), ("1", "de"), ("2", "und"), ("3", "und"), ("4", "und"), ("5", "de"), ("6", "de"), ("None", "de")]
+
+
+def test_rejection_is_calibrated_on_both_sides(spark):
+    rng = random.Random(6)
+    langs = sorted(WORDS)
+    rows = [(i, sentence(rng, langs[i % 3], 40), langs[i % 3]) for i in range(900)]
+    models = fit_language_models(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    prose = [r[1] for r in rows]
+    noise = [" ".join("".join(rng.choice(models.alphabet) for _ in range(rng.randint(2, 9))) for _ in range(12)) for _ in range(300)]
+    assert not any(rejected for *_, rejected in models.predict(prose))
+    assert all(rejected for *_, rejected in models.predict(noise))
 
 
 def test_language_accuracy(spark):
