@@ -19,8 +19,8 @@ then longer piece before it, and so on.  In a text: higher score, then departing
 from the best segmentation earlier in the text.
 
 The segmentation that scores best is not the one the library's merge procedure
-finds for a model of merge type: scores there are merge ranks.  Decoding is the
-library's, and encoding followed by decoding gives every text back: a blank mark
+finds for a model of merge type: scores there are merge ranks.  The library's own
+ids are given beside it.  Decoding is the library's, and encoding followed by decoding gives every text back: a blank mark
 that the text itself holds is written as bytes.
 """
 
@@ -35,13 +35,19 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chatloom.llm.lattice import SHORT, Lattice, groups
-from chatloom.llm.shared import only, slices, texts
+from chatloom.llm.shared import at as column_at
+from chatloom.llm.shared import only, positional, quoted, slices, texts
 
-REMEMBERED = 250_000
+#: Bytes of the words that are kept, as ``_size`` estimates them.
+REMEMBERED = 96 << 20
+#: Bytes of text whose chunks are taken together.
+TOGETHER = 1 << 23
 N_BEST = 3
 #: Below the lowest score of a piece that ranks merges, as for unknown characters elsewhere.
 UNKNOWN_PENALTY = 10.0
@@ -49,11 +55,41 @@ UNKNOWN_PENALTY = 10.0
 MARK = "▁"
 
 
+def _size(word: str) -> int:
+    """Bytes that a word takes, about: its string, its ids and its place in a dictionary."""
+    return 230 + 6 * len(word)
+
+
+def _spelled(word: str) -> str:
+    """What a word stands for in a text: marks are blanks, but for one behind a zero, which is itself."""
+    return word[1:] if len(word) > 1 and word[0] == "\0" else word.replace(MARK, " ")
+
+
+class Runs:
+    """Lists of numbers, one after the other in one array."""
+
+    def __init__(self, flat=(), sizes=()):
+        self.flat, self.sizes = np.array(flat, np.int32), np.array(sizes, np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def take(self, at: np.ndarray) -> Runs:
+        """The lists at these places."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        return Runs(self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + sizes, sizes)], sizes)
+
+    def __add__(self, other: Runs) -> Runs:
+        return Runs(np.concatenate([self.flat, other.flat]), np.concatenate([self.sizes, other.sizes]))
+
+    def __getitem__(self, at: int) -> tuple[int, ...]:
+        return tuple(self.flat[self.starts[at] : self.starts[at] + self.sizes[at]].tolist())
+
+
 class Segmenter:
     """N-best segmentation over the vocabulary of the model file at ``path``."""
 
     def __init__(self, path: str):
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.pieces: dict[str, int] = {}
         self.score: dict[int, float] = {}
         self.byte: dict[int, int] = {}
@@ -83,6 +119,7 @@ class Segmenter:
         letters = {c for c in single if c.isalpha()}
         if any(len({c in letters for c in piece.lstrip(MARK)}) > 1 for piece in self.pieces):
             letters = set()  # some piece joins letters to others: words end at blanks alone
+        self.joins = letters.issuperset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
         kinds = ["".join(map(re.escape, sorted(kind))) for kind in (letters, single - letters) if kind]
         self.inside = single | {MARK}
         runs = "|".join(f"[{kind}]+" for kind in kinds)
@@ -94,13 +131,26 @@ class Segmenter:
         self.clear()
 
     def clear(self) -> None:
+        """Forgets all words."""
         self.known.clear()
+        self.held = 0
         self.spelling: list[str] = []
-        self.ids: list[tuple[int, ...]] = []
-        self.firsts = np.zeros(REMEMBERED)
-        self.seconds = np.zeros(REMEMBERED)  # what the second choice scores less
+        self.ids, self.library = Runs(), Runs()
+        self.firsts = np.zeros(0)
+        self.seconds = np.zeros(0)  # what the second choice scores less
+        self.faithful = np.zeros(0, bool)  # whether the ids decode to the word
         self.choices: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
 
+    def keep(self, words: set[str]) -> None:
+        """Forgets all words but these."""
+        stay = [w for w in self.known if w in words]
+        at = np.fromiter(map(self.known.__getitem__, stay), np.int64, len(stay))
+        ids, library, firsts, seconds, faithful = self.ids.take(at), self.library.take(at), self.firsts[at], self.seconds[at], self.faithful[at]
+        self.clear()
+        self.known.update(zip(stay, range(len(stay)), strict=True))
+        self.spelling, self.held = stay, sum(map(_size, stay))
+        self.ids, self.library, self.firsts, self.seconds, self.faithful = ids, library, firsts, seconds, faithful
+
     def edges(self, word: str, end: int) -> Iterator[tuple[int, float, tuple[int, ...]]]:
         """(start, score, ids) of the edges into node ``end``, longest first."""
         found = False
@@ -142,25 +192,20 @@ class Segmenter:
             found.append((so_far, tuple(ids)))
         return found
 
-    def add(self, word: str, ids: tuple[int, ...], first: float, second: float) -> None:
-        at = self.known[word] = len(self.ids)
-        if at == len(self.firsts):  # more new words at once than are kept otherwise
-            self.firsts, self.seconds = np.resize(self.firsts, 2 * at), np.resize(self.seconds, 2 * at)
-        self.spelling.append(word)
-        self.ids.append(ids)
-        self.firsts[at], self.seconds[at] = first, second
-
     def learn(self, words: set[str]) -> None:
-        """Best segmentation of each new word, and how much less the second best scores.
+        """Best segmentation of each new word, how much less the second best scores, and the library's own ids.
 
         Forward and backward scores of many equally long words at once: the second
         best path has an edge off the best path, so it is the best path through one.
         """
         new = words.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.clear()
-            new = words
+        self.held += sum(map(_size, new))
+        if self.held > REMEMBERED:
+            self.keep(words)
+            self.held += sum(map(_size, new))
         plain = [w for w in new if w[0] in self.inside and len(w) <= SHORT]
+        found: list[str] = []
+        firsts, losses, ids, sizes = [], [], [], []
         for own in groups(plain):
             n, length = len(own), len(own[0])
             pieces = self.lattice.edges(np.frombuffer("".join(own).encode("utf-32-le"), np.uint32).reshape(n, length))
@@ -179,12 +224,54 @@ class Segmenter:
                 taken[at, end - 1] = pieces[start, end, at]
                 through[start, end, at] = -np.inf
                 node[at] = start
-            losses = (forward[length] - through.max(axis=(0, 1))).tolist()
-            for word, row, first, loss in zip(own, taken.tolist(), forward[length].tolist(), losses, strict=True):
-                self.add(word, tuple([i for i in row if i >= 0]), first, loss)
+            found += own
+            firsts.append(forward[length])
+            losses.append(forward[length] - through.max(axis=(0, 1)))
+            ids.append(taken[taken >= 0])
+            sizes.append((taken >= 0).sum(axis=1))
         for word in new.difference(plain):
             best = self.options(word, 2)
-            self.add(word, best[0][1], best[0][0], best[0][0] - best[1][0] if len(best) > 1 else np.inf)
+            found.append(word)
+            firsts.append([best[0][0]])
+            losses.append([best[0][0] - best[1][0] if len(best) > 1 else np.inf])
+            ids.append(best[0][1])
+            sizes.append([len(best[0][1])])
+        if not found:
+            return
+        runs = Runs(np.concatenate(ids), np.concatenate(sizes))
+        known = len(self.spelling)
+        self.known.update(zip(found, range(known, known + len(found)), strict=True))
+        self.spelling += found
+        self.ids, self.library = self.ids + runs, self.library + self.merged(found)
+        self.firsts, self.seconds = np.concatenate([self.firsts, *firsts]), np.concatenate([self.seconds, *losses])
+        pieces = list(map(self.text_of.__getitem__, runs.flat.tolist()))
+        ends = np.cumsum(runs.sizes).tolist()
+        self.faithful = np.concatenate([self.faithful, [self.joined(pieces[a:b]) == _spelled(w) for w, a, b in zip(found, [0, *ends], ends, strict=False)]]).astype(bool)
+
+    def merged(self, words: list[str]) -> Runs:
+        """The library's ids of the words.
+
+        Nothing merges across the ends of words, so each is encoded behind a word of the
+        other kind, whose ids are then left out; the library itself sets a mark before a
+        text.  Marks alone stand before a byte that merges with nothing.
+        """
+        marked, skip, drop = [], [], []
+        ids = {x: len(self.model.encode(x)) for x in (",", "a")}
+        for word in words:
+            behind, alone = 0, False
+            if word[0] == MARK:
+                alone = word[-1] == MARK
+                word = word[1:].replace(MARK, " ") + "\x01" * alone
+            elif len(word) > 1 and word[0] == "\0":
+                word = word[1:]
+            else:
+                other = "," if word[0].isalpha() else "a"
+                word, behind = other + word, ids[other]
+            marked.append(word)
+            skip.append(behind)
+            drop.append(alone)
+        found = [i[at : len(i) - d] for i, at, d in zip(self.model.encode(marked, num_threads=1), skip, drop, strict=True)]
+        return Runs(np.fromiter(chain.from_iterable(found), np.int32), [len(i) for i in found])
 
     def options(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         return self.spelled(word[1:]) if len(word) > 1 and word[0] == "\0" else self.nbest(word, n)
@@ -210,23 +297,85 @@ class Segmenter:
             found += self.split(part.replace(" ", MARK))
         return found
 
-    def segment(self, texts: list[str], n: int) -> Iterator[tuple[np.ndarray, list[float], list[dict[int, int]]]]:
-        """Of each text the words' numbers, the ``n`` best scores, and for each which words (by position) take which other choice."""
-        split = [self.words(t) for t in texts]
-        self.learn(set().union(*split))
-        known, firsts, seconds = self.known, self.firsts, self.seconds
-        for words in split:
-            numbers = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            total = float(firsts[numbers].sum())
-            # Only the n - 1 cheapest departures (earliest first among equals) can be in the n best.
-            costs = seconds[numbers]
-            cheap = []
-            for _ in range(min(n - 1, len(costs))):
-                k = int(costs.argmin())
-                if np.isinf(costs[k]):
-                    break
-                cheap.append(k)
-                costs[k] = np.inf
+    def chunk(self, chunk: str, before: str) -> list[str]:
+        """The words of a chunk without blanks, behind a mark or a line end."""
+        if self.joins and chunk.isalpha() and chunk.isascii():
+            return [MARK + chunk] if before == MARK else [before, chunk]
+        return self.split(before + chunk)
+
+    def together(self, batch: pa.StringArray) -> tuple[Runs, np.ndarray]:
+        """(the words' numbers by text, whether their ids decode to the text)."""
+        lines = pc.split_pattern(batch, "\n")
+        line_ends = lines.offsets.to_numpy().astype(np.int64)
+        listed = pc.split_pattern(lines.flatten(), " ")
+        chunk_ends = listed.offsets.to_numpy().astype(np.int64)
+        line_ends, chunk_ends = line_ends - line_ends[0], chunk_ends - chunk_ends[0]
+        ends = chunk_ends[line_ends]  # of the texts' chunks
+        coded = listed.flatten().dictionary_encode()
+        code, chunks = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        opening = np.zeros(len(code), bool)  # a line, but not the text
+        opening[chunk_ends[:-1]] = True
+        opening[ends[:-1]] = False
+        # Runs of blanks, and marks of the text itself, need the whole text; so do empty texts.
+        marks = np.fromiter((MARK in c for c in chunks), bool, len(chunks))
+        empty = np.fromiter((not c for c in chunks), bool, len(chunks))
+        odd = marks[code] | empty[code] & ~opening
+        slow = np.flatnonzero(np.logical_or.reduceat(odd, ends[:-1]))
+        apart = [batch[int(i)].as_py() for i in slow]
+
+        # A chunk behind a mark or a line end, or a text of its own, is a unit.
+        code += opening * len(chunks)
+        used, unit_of = np.unique(np.append(code, 2 * len(chunks)), return_inverse=True)
+        units, whole = [], []
+        for u in used[:-1].tolist():
+            before, chunk = (MARK, chunks[u]) if u < len(chunks) else ("\n", chunks[u - len(chunks)])
+            units.append(own := self.chunk(chunk, before) if MARK not in chunk else [])
+            whole.append("".join(own) == before + chunk)
+        for text in apart:
+            units.append(own := self.words(text))
+            whole.append("".join(map(_spelled, own)).removeprefix(" ") == text)
+        self.learn(set(chain.from_iterable(units)))
+        numbers = Runs(np.fromiter(map(self.known.__getitem__, chain.from_iterable(units)), np.int64), [len(u) for u in units])
+
+        length = np.diff(ends)
+        length[slow] = 1
+        unit_ends = np.cumsum(length)
+        unit = np.zeros(int(unit_ends[-1]), np.int64)
+        fast = np.ones(len(batch), bool)
+        fast[slow] = False
+        unit[np.repeat(fast, length)] = unit_of[:-1][np.repeat(fast, np.diff(ends))]
+        unit[unit_ends[slow] - 1] = len(used) - 1 + np.arange(len(slow))
+        taken = numbers.take(unit)
+        words = Runs(taken.flat, np.add.reduceat(taken.sizes, unit_ends - length))
+        back = np.logical_and.reduceat(np.array(whole, bool)[unit], unit_ends - length)
+        some = np.flatnonzero(words.sizes)
+        if len(some):
+            back[some] &= np.logical_and.reduceat(self.faithful[words.flat], words.starts[some])
+        return words, back
+
+    def cheapest(self, words: Runs, n: int) -> list[list[int]]:
+        """The places in each text of the ``n`` words whose second choice costs least, the earliest first among equals."""
+        found: list[list[int]] = [[] for _ in words.sizes]
+        some = np.flatnonzero(words.sizes)
+        if not len(some):
+            return found
+        costs, starts, sizes = self.seconds[words.flat], words.starts[some], words.sizes[some]
+        for _ in range(n):
+            least = np.minimum.reduceat(costs, starts)
+            at = np.flatnonzero(costs == np.repeat(least, sizes))
+            at = at[np.searchsorted(at, starts)]
+            real = np.isfinite(least)
+            for text, k in zip(some[real].tolist(), (at - starts)[real].tolist(), strict=True):
+                found[text].append(k)
+            costs[at] = np.inf
+        return found
+
+    def best(self, words: Runs, n: int) -> Iterator[tuple[list[float], list[dict[int, int]]]]:
+        """Of each text the ``n`` best scores, and for each which words (by place) take which other choice."""
+        totals = np.concatenate([[0.0], np.cumsum(self.firsts[words.flat])])
+        totals = (totals[words.starts + words.sizes] - totals[words.starts]).tolist()
+        # Only the n - 1 cheapest departures can be in the n best.
+        for text, (total, cheap) in enumerate(zip(totals, self.cheapest(words, n - 1), strict=True)):
             cheap.sort(reverse=True)
             # Backward over these words; choices from the end settle ties.
             queue: list[tuple] = [(0.0, (), 0)]
@@ -237,23 +386,24 @@ class Segmenter:
                     scores.append(total - cost)
                     choices.append({k: c for k, c in zip(cheap, taken, strict=True) if c})
                     continue
-                options = self.chosen(int(numbers[cheap[depth]]), n)
+                options = self.chosen(int(words.flat[words.starts[text] + cheap[depth]]), n)
                 for c, (score, _) in enumerate(options):
                     heapq.heappush(queue, (cost + options[0][0] - score, (*taken, c), depth + 1))
-            yield numbers, scores, choices
+            yield scores, choices
 
     def encode(self, text: str, n: int = 1) -> list[tuple[float, list[int]]]:
         """The ``n`` best (score, ids), best first."""
-        ((numbers, scores, choices),) = self.segment([text], max(n, 2))
-        return [(s, [i for k, w in enumerate(numbers.tolist()) for i in (self.chosen(w, max(n, 2))[other[k]][1] if k in other else self.ids[w])]) for s, other in zip(scores[:n], choices, strict=False)]
+        words, _ = self.together(pa.array([text]))
+        ((scores, choices),) = self.best(words, max(n, 2))
+        return [(s, [i for k, w in enumerate(words.flat.tolist()) for i in (self.chosen(w, max(n, 2))[other[k]][1] if k in other else self.ids[w])]) for s, other in zip(scores[:n], choices, strict=False)]
 
-    def best_ids(self, numbers: np.ndarray) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.ids.__getitem__, numbers.tolist())), np.int32)
+    def joined(self, pieces: list[str]) -> str:
+        text = "".join(pieces)
+        return text if text.isascii() else text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
     def decode(self, ids: list[int]) -> str:
         """The text that ``ids`` stand for, without the blank added in front; broken byte sequences are replaced."""
-        text = "".join(map(self.text_of.__getitem__, ids))
-        return text.encode("utf-8", "surrogateescape").decode("utf-8", "replace").removeprefix(" ")
+        return self.joined([self.text_of[i] for i in ids]).removeprefix(" ")
 
 
 @lru_cache(2)
@@ -262,53 +412,48 @@ def segmenter(path: str) -> Segmenter:
 
 
 def encode_pieces(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
-    """One row per input row: id, n_pieces, score, margin, nbest_scores, round_trip, ids_sha256 and, if asked, ids.
+    """One row per input row: id, n_pieces, score, margin, nbest_scores, round_trip, ids_sha256, n_library, library_sha256 and, if asked, ids and library_ids.
 
     ``margin`` is the best score less the second (null if there is none);
-    ``round_trip`` says that decoding the ids gave the text back; the digest is of
-    the ids as little-endian 32-bit integers.  Null texts count as empty: no
-    pieces.  Repeated rows and null ids pass through, an empty table gives an
-    empty result, other columns are ignored.
+    ``round_trip`` says that decoding the ids gave the text back; digests are of
+    ids as little-endian 32-bit integers; ``library_ids`` are those of the library's
+    own procedure.  Null texts count as empty: no pieces.  Repeated rows and null ids
+    pass through, an empty table gives an empty result, other columns are ignored.
+    Long texts take memory in proportion to their length.
     """
     if n_best < 2:
         raise ValueError("n_best must be 2 or more")
     rows = texts(docs, id_col, text_col)
-    schema = f"`{id_col}` {rows.schema['_id'].dataType.simpleString()}, n_pieces bigint, score double, margin double, nbest_scores array<double>, round_trip boolean, ids_sha256 string"
-    names = [id_col, "n_pieces", "score", "margin", "nbest_scores", "round_trip", "ids_sha256"]
+    kinds = {"n_pieces": "bigint", "score": "double", "margin": "double", "nbest_scores": "array<double>", "round_trip": "boolean", "ids_sha256": "string", "n_library": "bigint", "library_sha256": "string"}
     if with_ids:
-        schema, names = schema + ", ids array<int>", [*names, "ids"]
+        kinds |= {"ids": "array<int>", "library_ids": "array<int>"}
+    schema = f"{quoted(id_col)} {rows.schema['_id'].dataType.simpleString()}, " + ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+    arrow = {"bigint": pa.int64(), "double": pa.float64(), "array<double>": pa.list_(pa.float64()), "boolean": pa.bool_(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    digest = lambda ids: hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(path)
         only("pieces", own.clear)
         # Batches of long texts are taken apart, so that ids and texts together stay small.
         for whole in batches:
-            for batch in slices(whole, 1):
-                out: dict[str, list] = {name: [] for name in names[1:-1] if name != "ids"} | {"ids_sha256": []}
-                kept = []
-                values = batch.column(1).to_pylist()
-                for text, (numbers, scores, _) in zip(values, own.segment(values, n_best), strict=True):
-                    ids = own.best_ids(numbers)
-                    out["n_pieces"].append(len(ids))
-                    out["score"].append(scores[0])
-                    out["margin"].append(scores[0] - scores[1] if len(scores) > 1 else None)
-                    out["nbest_scores"].append(scores)
-                    out["round_trip"].append(own.decode(ids.tolist()) == text)
-                    out["ids_sha256"].append(hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest())
-                    kept.append(ids)
-                kinds = {"n_pieces": pa.int64(), "score": pa.float64(), "margin": pa.float64(), "nbest_scores": pa.list_(pa.float64()), "round_trip": pa.bool_(), "ids_sha256": pa.string()}
-                columns = [batch.column(0), *[pa.array(out[k], kind) for k, kind in kinds.items()]]
-                if with_ids:
-                    ends = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept) if kept else np.zeros(0, np.int32))))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            for batch in slices(whole, 1, TOGETHER):
+                words, back = own.together(batch.column(1))
+                ids, merged = own.ids.take(words.flat), own.library.take(words.flat)
+                out: dict[str, list] = {name: [] for name in kinds}
+                ends = [np.concatenate([[0], np.cumsum(x.sizes)])[np.concatenate([[0], np.cumsum(words.sizes)])].tolist() for x in (ids, merged)]
+                for i, (scores, _) in enumerate(own.best(words, n_best)):
+                    best, its = ids.flat[ends[0][i] : ends[0][i + 1]], merged.flat[ends[1][i] : ends[1][i + 1]]
+                    row = (len(best), scores[0], scores[0] - scores[1] if len(scores) > 1 else None, scores, bool(back[i]), digest(best), len(its), digest(its), best, its)
+                    for column, value in zip(out.values(), row, strict=False):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(out[name], arrow[kind]) for name, kind in kinds.items()]], names=[id_col, *kinds])
 
     return rows.mapInArrow(encoded, schema)
 
 
 def decode_pieces(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, text): the texts that the arrays of ids stand for; null arrays give null."""
-    rows = encoded.select(encoded[id_col].alias("_id"), encoded[ids_col].alias("_ids"))
+    rows = positional(encoded).select(F.col(column_at(encoded, id_col)).alias("_id"), F.col(column_at(encoded, ids_col)).alias("_ids"))
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(path)
@@ -316,4 +461,4 @@ def decode_pieces(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col
             found = [None if v is None else own.decode(v) for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=[id_col, "text"])
 
-    return rows.mapInArrow(decoded, f"`{id_col}` {rows.schema['_id'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(decoded, f"{quoted(id_col)} {rows.schema['_id'].dataType.simpleString()}, text string")
