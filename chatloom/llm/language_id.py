@@ -8,8 +8,10 @@ n-gram hashes per order, found by binary search, with a discounted mass and a
 back-off weight per language beside each hash.
 
 A text goes to the language of the lowest cross-entropy per character over all
-its words.  The posterior is a softmax of the entropies at a temperature fitted,
-as is the rejection threshold, on labelled texts that took no part in counting.
+its words.  The posterior is a softmax of the entropies at a temperature fitted
+on labelled texts that took no part in counting.  A text is rejected beyond the
+middle between the highest entropy of these and the lowest of texts of random
+letters of the models' own alphabet: neither side has an error in calibration.
 
 Fitting reads a sample of at most about ``PER_LANGUAGE`` labelled rows a language
 (twice: counting and calibration), drawn by a hash of the id, so the model's size
@@ -18,36 +20,37 @@ is bounded by that parameter.  Prediction reads every text whole.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.shared import only, slices, uniform
+from chatloom.llm.shared import at as column_at
+from chatloom.llm.shared import only, positional, quoted, slices, uniform
 
 ORDER = 4
 PER_LANGUAGE = 300
 #: Distinct labels above this are refused: the model has a column for each.
 LANGUAGES = 512
-REMEMBERED = 200_000
-#: Rejected if the entropy exceeds the worst calibrated one by this many bits a character.
-SLACK = 2.0
+#: Bytes of the words whose scores are kept, as ``_size`` estimates them.
+REMEMBERED = 64 << 20
+#: Texts of random letters that show what reads like no language, and how long a word of theirs may be.
+RANDOM_TEXTS = 200
+RANDOM_LETTERS = 60
+RANDOM_WORD = 9
 UNKNOWN = "und"
 
-LETTERS = re.compile(r"[^\W\d_]+")
-#: Letters that no digit touches: codes and keys say nothing about a language.
-WORDS = re.compile(r"\b[^\W\d_]+\b")
+LETTERS = regex.compile(r"\p{L}+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str) -> list[str]:
-    """The lower-cased words; runs of letters inside codes only where there is nothing else."""
-    text = text.lower()
-    return WORDS.findall(text) or LETTERS.findall(text)
+    """The lower-cased runs of letters (category L), all of them."""
+    return LETTERS.findall(text.lower())
 
 
 def held_out(id_col: Column) -> Column:
@@ -80,6 +83,11 @@ def _grams(words: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     return hashes, word, counted
 
 
+def _size(word: str, languages: int) -> int:
+    """Bytes that a remembered word takes, about: the string, its place in a dictionary, and its scores."""
+    return 180 + 2 * len(word) + 8 * languages
+
+
 class Models:
     """``keys[n]`` sorted hashes; ``mass[n]``, ``back[n]`` a column per language."""
 
@@ -89,13 +97,19 @@ class Models:
         self.mass: list[np.ndarray] = []
         self.back: list[np.ndarray] = []
         self.floor = 1.0
+        self.alphabet: list[str] = []
         self.temperature = 1.0
         self.worst = np.inf
         self.words: dict[str, int] = {}
         self.scores = np.zeros((0, len(languages)))
+        self.held = 0
 
     def __getstate__(self):
-        return self.__dict__ | {"words": {}, "scores": np.zeros((0, len(self.languages)))}
+        return self.__dict__ | {"words": {}, "scores": np.zeros((0, len(self.languages))), "held": 0}
+
+    def forget(self) -> None:
+        self.words.clear()
+        self.scores, self.held = np.zeros((0, len(self.languages))), 0
 
     @classmethod
     def fit(cls, counts: dict[str, Counter]) -> Models:
@@ -128,6 +142,7 @@ class Models:
                 total, kinds = np.bincount(of, c), np.bincount(of)
                 tables[n].append((k, keys, np.maximum(c - d, 0) / total[of], before, d * kinds / total))
         own.floor = 1.0 / (len(alphabet) + 1)
+        own.alphabet = sorted(alphabet - {" "})
         for n in range(ORDER):
             later = tables[n + 1] if n + 1 < ORDER else []
             keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *[t[1] for t in tables[n]], *[t[3] for t in later]]))
@@ -176,10 +191,10 @@ class Models:
         split = [words_of(t) for t in texts]
         known = self.words
         new = list(dict.fromkeys(w for words in split for w in words if w not in known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            self.scores = np.zeros((0, len(self.languages)))
+        if sum(_size(w, len(self.languages)) for w in new) + self.held > REMEMBERED:
+            self.forget()
             new = list(dict.fromkeys(w for words in split for w in words))
+        self.held += sum(_size(w, len(self.languages)) for w in new)
         found = [self.bits(new[i : i + 20_000]) for i in range(0, len(new), 20_000)]
         known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
         self.scores = np.concatenate([self.scores, *found])
@@ -216,7 +231,14 @@ class Models:
             return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), truth]).mean())
 
         self.temperature = min((0.25 * 1.3**k for k in range(24)), key=loss)
-        self.worst = float(table.min(axis=1).max()) + SLACK
+        rng = np.random.default_rng(0)
+        texts = []
+        for _ in range(RANDOM_TEXTS):
+            letters = "".join(rng.choice(self.alphabet, RANDOM_LETTERS))
+            ends = np.cumsum(rng.integers(1, RANDOM_WORD + 1, RANDOM_LETTERS))
+            texts.append(" ".join(letters[a:b] for a, b in zip([0, *ends], ends, strict=False) if letters[a:b]))
+        highest, lowest = float(table.min(axis=1).max()), float(np.nanmin(self.entropies(texts), axis=1).min())
+        self.worst = max(highest, (highest + lowest) / 2)
 
 
 def fit_language_models(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Models:
@@ -225,7 +247,7 @@ def fit_language_models(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows with a null text, label or id are not used.  Without labelled rows there
     is no language: every text is ``und``, and those without letters are rejected.
     """
-    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"), docs[lang_col].cast("string").alias("_lang"))
+    rows = positional(docs).select(F.col(column_at(docs, id_col)).alias("_id"), F.col(column_at(docs, text_col)).alias("_text"), F.col(column_at(docs, lang_col)).cast("string").alias("_lang"))
     rows = rows.filter("_id is not null and _text is not null and _lang is not null").filter(~held_out(F.col("_id")))
     sizes = {r["_lang"]: r["count"] for r in rows.groupBy("_lang").count().limit(LANGUAGES + 1).collect()}
     if len(sizes) > LANGUAGES:
@@ -269,15 +291,17 @@ def identify_languages(docs: DataFrame, models: Models, id_col: str = "doc_id",
 
     Texts that are null or have no letter are ``und`` with score 0 and rejected;
     so is, keeping its best language, a text whose entropy lies beyond what the
-    calibration rows showed.  Ties go to the first language by name.  An empty
-    table gives an empty result.
+    calibration rows showed.  Ties go to the first language by name.  Repeated rows
+    and null ids pass through, long texts are read whole in memory in proportion to
+    their length, other columns are ignored whatever their names.  An empty table
+    gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
-    schema = f"`{id_col}` {rows.dtypes[0][1]}, lang_pred string, score double, bits_per_char double, rejected boolean"
+    rows = positional(docs).select(F.col(column_at(docs, id_col)).alias("_id"), F.col(column_at(docs, text_col)).alias("_text"))
+    schema = f"{quoted(id_col)} {rows.dtypes[0][1]}, lang_pred string, score double, bits_per_char double, rejected boolean"
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only("language")
+        only("language", shared.value.forget)
         for whole in batches:
             for batch in slices(whole, 1):
                 found = shared.value.predict([t or "" for t in batch.column(1).to_pylist()])
@@ -288,12 +312,16 @@ def identify_languages(docs: DataFrame, models: Models, id_col: str = "doc_id",
 
 
 def drop_rejected(docs: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``identify_languages`` rejects; columns as they were."""
+    """``docs`` without the rows that ``identify_languages`` rejects; columns as they were.
+
+    Null and empty texts go, repeated rows and null ids stay or go by their texts;
+    an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(models)
     at = docs.columns.index(text_col)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only("language")
+        only("language", shared.value.forget)
         for whole in batches:
             for batch in slices(whole, at):
                 found = shared.value.predict([t or "" for t in batch.column(at).to_pylist()])
