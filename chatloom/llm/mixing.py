@@ -33,18 +33,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from chatloom.llm.shared import cut, only, slices, uniform
+from chatloom.llm.shared import at, cut, only, positional, renamed, slices, uniform
 
 #: Labelled rows used for fitting, at most about this many a domain.
 LABELLED = 700
 DOMAINS = 32
 MIN_DOCUMENTS = 5
-FEATURES = 512
+FEATURES = 32_768
 RIDGE = 0.3
 EPOCHS = 150
-GRID = 64
-STEPS = 60
-TOLERANCE = 5e-4
+GRID = 256
+STEPS = 120
+TOLERANCE = 1e-4
 #: Over the total at which a domain just stays whole, so that its documents of nearly certain posterior do too.
 HEADROOM = 1.05
 
@@ -109,10 +109,10 @@ class Classifier:
         for i, text in enumerate(texts):
             words = WORDS.findall(text.lower())
             tokens[i] = len(words)
-            at = [features[w] for w in set(words) if w in features]
-            if at:
-                at.sort()
-                scores[i] += self.weights[at].sum(axis=0)
+            known = [features[w] for w in set(words) if w in features]
+            if known:
+                known.sort()
+                scores[i] += self.weights[known].sum(axis=0)
         p = self._softmax(scores) if len(texts) else scores
         dither = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), GRID) >> 11 for t in texts], np.float64) / (1 << 53)
         ends = np.floor(np.cumsum(p, axis=1) * GRID + dither[:, None])
@@ -135,7 +135,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, id_col: s
         return None
     share = F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, min(1.0, labelled / n))])
     named = cut(named.filter(uniform(F.col("_of"), "mixing") < share[F.col("_domain")]), "mixing-labels")
-    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text")).filter("_text is not null")
+    rows = positional(docs).select(F.col(at(docs, id_col)).alias("_id"), F.col(at(docs, text_col)).alias("_text")).filter("_text is not null")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,13 +150,13 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, id_col: s
 def with_posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text", names: tuple[str, str, str] = ("_tokens", "_units", "_p")) -> DataFrame:
     """``docs`` with three more columns: tokens, posteriors in units of 1 / GRID, and posteriors."""
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
-    at = docs.columns.index(text_col)
+    place = docs.columns.index(text_col)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("mixing")
         for whole in batches:
-            for batch in slices(whole, at):
-                tokens, units, p = shared.value.posteriors([t or "" for t in batch.column(at).to_pylist()])
+            for batch in slices(whole, place):
+                tokens, units, p = shared.value.posteriors([t or "" for t in batch.column(place).to_pylist()])
                 listed = pa.FixedSizeListArray.from_arrays(pa.array(units.ravel(), pa.int32()), units.shape[1]).cast(pa.list_(pa.int32()))
                 exact = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel(), pa.float64()), p.shape[1]).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens), listed, exact], names=[*batch.schema.names, *names])
@@ -182,7 +182,7 @@ def _rate(units: Column, history: list[list[float]], ahead: bool = False) -> Col
         return F.struct(rate.alias("rate"), (rate + h[k] * (rate - at["rate"])).alias("ahead"))
 
     start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    return F.aggregate(steps, start, step, lambda at: at["ahead" if ahead else "rate"])
+    return F.aggregate(steps, start, step, lambda x: x["ahead" if ahead else "rate"])
 
 
 def fit_rates(judged: DataFrame, domains: list[str], targets: Mapping[str, float], whole: str | None = None) -> list[list[float]]:
@@ -236,7 +236,7 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: Mapping[str
     an empty result; other columns are ignored.
     """
     classifier = fit_classifier(docs, labels, domain, id_col, text_col, label_id)
-    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
+    rows = positional(docs).select(F.col(at(docs, id_col)).alias("_id"), F.col(at(docs, text_col)).alias("_text"))
     if classifier is None:
         words = F.size(F.filter(F.split(F.coalesce("_text", F.lit("")), r"\s+"), lambda w: w != "")).cast("long")
         return rows.select(F.col("_id").alias(id_col), words.alias("n_tokens"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("map<string,double>").alias("posteriors"), F.lit(1.0).alias("rate"))
@@ -256,15 +256,16 @@ def sample_mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: Mapp
     """``docs`` thinned to the mixture: a document stays if a hash of its id, in [0, 1), is below its rate.
 
     Rates of 1 and more keep a document, once.  Rows without an id stay if their
-    domain's rate is 1 or more.  All columns are returned as they were.
+    domain's rate is 1 or more; rows that repeat an id and a text stay or go together.
+    Null texts count as empty; without labelled documents all rows stay; an empty
+    table gives an empty result.  All columns are returned as they were.
     """
     classifier = fit_classifier(docs, labels, domain, id_col, text_col, label_id)
     if classifier is None:
         return docs
-    own = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    judged = with_posteriors(own, classifier, f"c{docs.columns.index(text_col)}")
+    judged = cut(with_posteriors(positional(docs), classifier, at(docs, text_col)), "mixing-posteriors")  # read twice
     history = fit_rates(judged.select("_tokens", "_units", "_p"), classifier.domains, targets, whole)
-    key = F.col(f"c{docs.columns.index(id_col)}")
+    key = F.col(at(docs, id_col))
     drawn = F.when(key.isNull(), F.lit(1.0 - 1e-12)).otherwise(uniform(key, "mixing-draw"))
     kept = judged.filter(drawn < _rate(F.col("_units"), history))
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return renamed(kept, docs)
