@@ -10,7 +10,7 @@ import numpy as np
 #: Words above this length go one by one.
 SHORT = 24
 #: Edges of a group of words, present or not.
-EDGES = 1 << 20
+EDGES = 1 << 18
 STEP = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -33,12 +33,12 @@ class Lattice:
             keys = np.array([h for h, _ in rows], np.uint64)
             if (keys[1:] == keys[:-1]).any():
                 raise ValueError("two pieces share a hash")
-            self.tables[length] = keys, np.array([n for _, n in rows], np.int64)
+            self.tables[length] = keys, np.array([n for _, n in rows], np.int32)
 
     def edges(self, words: np.ndarray) -> np.ndarray:
         """``[start, end, word]``: the piece from start to end, or -1, for a table with a word's codes in each row."""
         n, length = words.shape
-        found = np.full((length + 1, length + 1, n), -1, np.int64)
+        found = np.full((length + 1, length + 1, n), -1, np.int32)
         columns = np.ascontiguousarray(words.T.astype(np.uint64)) + np.uint64(1)
         for start in range(length):
             h = np.zeros(n, np.uint64)

@@ -26,6 +26,7 @@ that the text itself holds is written as bytes.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
@@ -45,9 +46,9 @@ from chatloom.llm.shared import at as column_at
 from chatloom.llm.shared import only, positional, quoted, slices, texts
 
 #: Bytes of the words that are kept, as ``_size`` estimates them.
-REMEMBERED = 96 << 20
+REMEMBERED = 64 << 20
 #: Bytes of text whose chunks are taken together.
-TOGETHER = 1 << 23
+TOGETHER = 1 << 22
 N_BEST = 3
 #: Below the lowest score of a piece that ranks merges, as for unknown characters elsewhere.
 UNKNOWN_PENALTY = 10.0
@@ -68,9 +69,13 @@ def _spelled(word: str) -> str:
 class Runs:
     """Lists of numbers, one after the other in one array."""
 
-    def __init__(self, flat=(), sizes=()):
-        self.flat, self.sizes = np.array(flat, np.int32), np.array(sizes, np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
+    def __init__(self, flat=(), sizes=(), starts=None):
+        self.flat, self.sizes = np.asarray(flat, np.int32), np.asarray(sizes, np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes if starts is None else starts
+
+    def cut(self, first: np.ndarray) -> Runs:
+        """Each list without as many of its first numbers."""
+        return Runs(self.flat, self.sizes - first, self.starts + first).take(np.arange(len(first)))
 
     def take(self, at: np.ndarray) -> Runs:
         """The lists at these places."""
@@ -125,9 +130,13 @@ class Segmenter:
         runs = "|".join(f"[{kind}]+" for kind in kinds)
         self.split = re.compile(f"{MARK}*(?:{runs})|{MARK}+|[^{''.join(kinds)}{MARK}]").findall
         self.lattice = Lattice(self.pieces, lambda piece: list(map(ord, piece)))
-        self.by_id = np.full(model.get_piece_size() + 1, -np.inf)  # the last stands for no piece
-        self.by_id[list(self.score)] = list(self.score.values())
+        scores = np.array(list(self.score.values()))
+        # Ranks are whole numbers, whose sums over a short word are exact in 24 bits; others take 53.
+        exact = (scores == np.rint(scores)).all() and -scores.min() * SHORT < 1 << 24
+        self.by_id = np.full(model.get_piece_size() + 1, -np.inf, np.float32 if exact else np.float64)  # the last stands for no piece
+        self.by_id[list(self.score)] = scores
         self.known: dict[str, int] = {}
+        self.time = 0
         self.clear()
 
     def clear(self) -> None:
@@ -139,16 +148,18 @@ class Segmenter:
         self.firsts = np.zeros(0)
         self.seconds = np.zeros(0)  # what the second choice scores less
         self.faithful = np.zeros(0, bool)  # whether the ids decode to the word
+        self.used = np.zeros(0, np.int32)  # when the word was last asked for
         self.choices: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
 
     def keep(self, words: set[str]) -> None:
-        """Forgets all words but these."""
-        stay = [w for w in self.known if w in words]
+        """Forgets the words that have not been used for longest, about half, but none of these."""
+        late = self.used > np.median(self.used)
+        stay = [w for w, n in self.known.items() if late[n] or w in words]
         at = np.fromiter(map(self.known.__getitem__, stay), np.int64, len(stay))
-        ids, library, firsts, seconds, faithful = self.ids.take(at), self.library.take(at), self.firsts[at], self.seconds[at], self.faithful[at]
+        ids, library, firsts, seconds, faithful, used = self.ids.take(at), self.library.take(at), self.firsts[at], self.seconds[at], self.faithful[at], self.used[at]
         self.clear()
         self.known.update(zip(stay, range(len(stay)), strict=True))
-        self.spelling, self.held = stay, sum(map(_size, stay))
+        self.spelling, self.held, self.used = stay, sum(map(_size, stay)), used
         self.ids, self.library, self.firsts, self.seconds, self.faithful = ids, library, firsts, seconds, faithful
 
     def edges(self, word: str, end: int) -> Iterator[tuple[int, float, tuple[int, ...]]]:
@@ -210,14 +221,14 @@ class Segmenter:
             n, length = len(own), len(own[0])
             pieces = self.lattice.edges(np.frombuffer("".join(own).encode("utf-32-le"), np.uint32).reshape(n, length))
             score = self.by_id[pieces]
-            forward, backward = np.full((length + 1, n), -np.inf), np.full((length + 1, n), -np.inf)
+            forward, backward = np.full((2, length + 1, n), -np.inf, score.dtype)
             forward[0] = backward[length] = 0
             for end in range(1, length + 1):
                 forward[end] = (forward[:end] + score[:end, end]).max(axis=0)
             for start in range(length - 1, -1, -1):
                 backward[start] = (backward[start + 1 :] + score[start, start + 1 :]).max(axis=0)
             through = forward[:, None] + score + backward[None, :]
-            node, taken = np.full(n, length), np.full((n, length), -1, np.int64)
+            node, taken = np.full(n, length), np.full((n, length), -1, np.int32)
             for end in range(length, 0, -1):
                 at = np.flatnonzero(node == end)
                 start = (forward[:end, at] + score[:end, end, at] == forward[end, at]).argmax(axis=0)
@@ -225,8 +236,8 @@ class Segmenter:
                 through[start, end, at] = -np.inf
                 node[at] = start
             found += own
-            firsts.append(forward[length])
-            losses.append(forward[length] - through.max(axis=(0, 1)))
+            firsts.append(forward[length].astype(np.float64))
+            losses.append((forward[length] - through.max(axis=(0, 1))).astype(np.float64))
             ids.append(taken[taken >= 0])
             sizes.append((taken >= 0).sum(axis=1))
         for word in new.difference(plain):
@@ -236,6 +247,9 @@ class Segmenter:
             losses.append([best[0][0] - best[1][0] if len(best) > 1 else np.inf])
             ids.append(best[0][1])
             sizes.append([len(best[0][1])])
+        self.time += 1
+        self.used = np.concatenate([self.used, np.full(len(found), self.time, np.int32)])
+        self.used[[self.known[w] for w in words.difference(new)]] = self.time
         if not found:
             return
         runs = Runs(np.concatenate(ids), np.concatenate(sizes))
@@ -255,23 +269,21 @@ class Segmenter:
         other kind, whose ids are then left out; the library itself sets a mark before a
         text.  Marks alone stand before a byte that merges with nothing.
         """
-        marked, skip, drop = [], [], []
         ids = {x: len(self.model.encode(x)) for x in (",", "a")}
-        for word in words:
-            behind, alone = 0, False
+        marked, skip, drop = [w[1:] for w in words], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for i, word in enumerate(words):
             if word[0] == MARK:
-                alone = word[-1] == MARK
-                word = word[1:].replace(MARK, " ") + "\x01" * alone
-            elif len(word) > 1 and word[0] == "\0":
-                word = word[1:]
-            else:
+                if word[-1] == MARK:
+                    marked[i], drop[i] = " " * (len(word) - 1) + "\x01", 1
+            elif len(word) == 1 or word[0] != "\0":
                 other = "," if word[0].isalpha() else "a"
-                word, behind = other + word, ids[other]
-            marked.append(word)
-            skip.append(behind)
-            drop.append(alone)
-        found = [i[at : len(i) - d] for i, at, d in zip(self.model.encode(marked, num_threads=1), skip, drop, strict=True)]
-        return Runs(np.fromiter(chain.from_iterable(found), np.int32), [len(i) for i in found])
+                marked[i], skip[i] = other + word, ids[other]
+        found = Runs(*self.encoded(marked))
+        return Runs(found.flat, found.sizes - drop, found.starts).cut(skip)
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        found = self.model.encode(texts, num_threads=1)
+        return np.fromiter(chain.from_iterable(found), np.int32), list(map(len, found))
 
     def options(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         return self.spelled(word[1:]) if len(word) > 1 and word[0] == "\0" else self.nbest(word, n)
@@ -297,12 +309,6 @@ class Segmenter:
             found += self.split(part.replace(" ", MARK))
         return found
 
-    def chunk(self, chunk: str, before: str) -> list[str]:
-        """The words of a chunk without blanks, behind a mark or a line end."""
-        if self.joins and chunk.isalpha() and chunk.isascii():
-            return [MARK + chunk] if before == MARK else [before, chunk]
-        return self.split(before + chunk)
-
     def together(self, batch: pa.StringArray) -> tuple[Runs, np.ndarray]:
         """(the words' numbers by text, whether their ids decode to the text)."""
         lines = pc.split_pattern(batch, "\n")
@@ -327,10 +333,15 @@ class Segmenter:
         code += opening * len(chunks)
         used, unit_of = np.unique(np.append(code, 2 * len(chunks)), return_inverse=True)
         units, whole = [], []
+        n, plain, split = len(chunks), self.joins, self.split
         for u in used[:-1].tolist():
-            before, chunk = (MARK, chunks[u]) if u < len(chunks) else ("\n", chunks[u - len(chunks)])
-            units.append(own := self.chunk(chunk, before) if MARK not in chunk else [])
-            whole.append("".join(own) == before + chunk)
+            before, chunk = (MARK, chunks[u]) if u < n else ("\n", chunks[u - n])
+            if plain and chunk.isascii() and chunk.isalpha():
+                units.append((MARK + chunk,) if u < n else ("\n", chunk))
+                whole.append(True)
+            else:
+                units.append(own := split(before + chunk))
+                whole.append("".join(own) == before + chunk)
         for text in apart:
             units.append(own := self.words(text))
             whole.append("".join(map(_spelled, own)).removeprefix(" ") == text)
@@ -434,6 +445,7 @@ def encode_pieces(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(path)
         only("pieces", own.clear)
+        gc.disable()  # hundreds of thousands of short lists at a time, none in a cycle
         # Batches of long texts are taken apart, so that ids and texts together stay small.
         for whole in batches:
             for batch in slices(whole, 1, TOGETHER):
