@@ -94,6 +94,7 @@ class Segmenter:
     """N-best segmentation over the vocabulary of the model file at ``path``."""
 
     def __init__(self, path: str):
+        self.remembered = REMEMBERED
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.pieces: dict[str, int] = {}
         self.score: dict[int, float] = {}
@@ -211,7 +212,7 @@ class Segmenter:
         """
         new = words.difference(self.known)
         self.held += sum(map(_size, new))
-        if self.held > REMEMBERED:
+        if self.held > self.remembered:
             self.keep(words)
             self.held += sum(map(_size, new))
         plain = [w for w in new if w[0] in self.inside and len(w) <= SHORT]
@@ -422,7 +423,7 @@ def segmenter(path: str) -> Segmenter:
     return Segmenter(path)
 
 
-def encode_pieces(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+def encode_pieces(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, remembered: int = REMEMBERED, together: int = TOGETHER) -> DataFrame:
     """One row per input row: id, n_pieces, score, margin, nbest_scores, round_trip, ids_sha256, n_library, library_sha256 and, if asked, ids and library_ids.
 
     ``margin`` is the best score less the second (null if there is none);
@@ -430,7 +431,8 @@ def encode_pieces(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str
     ids as little-endian 32-bit integers; ``library_ids`` are those of the library's
     own procedure.  Null texts count as empty: no pieces.  Repeated rows and null ids
     pass through, an empty table gives an empty result, other columns are ignored.
-    Long texts take memory in proportion to their length.
+    Long texts take memory in proportion to their length.  ``remembered`` and
+    ``together`` bound what a worker holds besides, and change no result.
     """
     if n_best < 2:
         raise ValueError("n_best must be 2 or more")
@@ -445,20 +447,27 @@ def encode_pieces(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(path)
         only("pieces", own.clear)
+        own.remembered = remembered
         gc.disable()  # hundreds of thousands of short lists at a time, none in a cycle
-        # Batches of long texts are taken apart, so that ids and texts together stay small.
-        for whole in batches:
-            for batch in slices(whole, 1, TOGETHER):
-                words, back = own.together(batch.column(1))
-                ids, merged = own.ids.take(words.flat), own.library.take(words.flat)
-                out: dict[str, list] = {name: [] for name in kinds}
-                ends = [np.concatenate([[0], np.cumsum(x.sizes)])[np.concatenate([[0], np.cumsum(words.sizes)])].tolist() for x in (ids, merged)]
-                for i, (scores, _) in enumerate(own.best(words, n_best)):
-                    best, its = ids.flat[ends[0][i] : ends[0][i + 1]], merged.flat[ends[1][i] : ends[1][i + 1]]
-                    row = (len(best), scores[0], scores[0] - scores[1] if len(scores) > 1 else None, scores, bool(back[i]), digest(best), len(its), digest(its), best, its)
-                    for column, value in zip(out.values(), row, strict=False):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(out[name], arrow[kind]) for name, kind in kinds.items()]], names=[id_col, *kinds])
+        try:
+            # Batches of long texts are taken apart, so that ids and texts together stay small.
+            for whole in batches:
+                for batch in slices(whole, 1, together):
+                    yield result(own, batch)
+        finally:
+            gc.enable()
+
+    def result(own: Segmenter, batch: pa.RecordBatch) -> pa.RecordBatch:
+        words, back = own.together(batch.column(1))
+        ids, merged = own.ids.take(words.flat), own.library.take(words.flat)
+        out: dict[str, list] = {name: [] for name in kinds}
+        ends = [np.concatenate([[0], np.cumsum(x.sizes)])[np.concatenate([[0], np.cumsum(words.sizes)])].tolist() for x in (ids, merged)]
+        for i, (scores, _) in enumerate(own.best(words, n_best)):
+            best, its = ids.flat[ends[0][i] : ends[0][i + 1]], merged.flat[ends[1][i] : ends[1][i + 1]]
+            row = (len(best), scores[0], scores[0] - scores[1] if len(scores) > 1 else None, scores, bool(back[i]), digest(best), len(its), digest(its), best, its)
+            for column, value in zip(out.values(), row, strict=False):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(out[name], arrow[kind]) for name, kind in kinds.items()]], names=[id_col, *kinds])
 
     return rows.mapInArrow(encoded, schema)
 

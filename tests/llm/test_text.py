@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chatloom.llm import mixing
-from chatloom.llm import pieces as pieces_module
 from chatloom.llm import token_counts as token_counts_module
 from chatloom.llm.language_id import Models, drop_rejected, fit_language_models, held_out, identify_languages
 from chatloom.llm.pieces import Segmenter, decode_pieces, encode_pieces
@@ -149,12 +148,14 @@ def test_long_words_and_round_trips(segmenter):
 
 def test_library_ids(segmenter, monkeypatch):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    monkeypatch.setattr(pieces_module, "REMEMBERED", 20_000)
+    monkeypatch.setattr(segmenter, "remembered", 20_000)
     texts = [t for t in [*odd_texts(600, 9), "The cat sat,\nand sat.", "a  b", "\n", " x", "x ", "\x00"] if "▁" not in t]
+    before = 0
     for at in range(0, len(texts), 100):
         words, back = segmenter.together(pa.array(texts[at : at + 100]))
-        ends = np.cumsum(words.sizes)
-        assert back.all() and len(segmenter.known) < 200
+        ends, own = np.cumsum(words.sizes), len(set(words.flat.tolist()))
+        assert back.all() and len(segmenter.known) <= 20_000 / 230 + before + own
+        before = own
         for t, a, b in zip(texts[at : at + 100], [0, *ends], ends, strict=False):
             assert segmenter.library.take(words.flat[a:b]).flat.tolist() == library.encode(t)
     segmenter.clear()
