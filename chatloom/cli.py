@@ -13,6 +13,7 @@ from chatloom import config as settings
 from chatloom.functions.text import truncate
 from chatloom.operators import clean as C
 from chatloom.operators.conversations import sample
+from chatloom.operators.memory import assistant_messages
 from chatloom.plans import commands
 from chatloom.sources import export
 
@@ -38,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--workers", type=int)
         sub.add_argument("--dry-run", action="store_true")
         sub.add_argument("--sample", type=int, default=3)
-        sub.add_argument("--allow-remote", action="store_true", help="let private text leave this machine for generated prompts")
+        sub.add_argument("--allow-remote", action="store_true", help="let private text leave this machine, for generated prompts and memory")
         if name != "memory":
             for flag in settings.OVERRIDES:
                 kind = next((k for k, names in FLAGS.items() if flag in names), "str")
@@ -57,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     config = settings.load(given.config)
     if given.workers and given.workers > 0:
-        config = replace(config, workers=given.workers)
+        config = replace(config, workers=given.workers, memory=replace(config.memory, workers=given.workers))
     config = settings.override(config, **{k: getattr(given, k) for k in settings.OVERRIDES if hasattr(given, k)})
     if given.command in ("build", "all"):
         config.validate()
@@ -79,7 +80,10 @@ def main(argv: list[str] | None = None) -> int:
     else:
         messages = export.read_clean(spark, given.source)
     if given.command == "memory":
-        found = commands.memory(spark, messages, config, f"{given.out}.stages")
+        if given.dry_run:
+            print(f"messages of the assistant's person: {assistant_messages(messages, config.roles.assistant_id).count()}")
+            return 0
+        found = commands.memory(spark, messages, config, f"{given.out}.stages", allow_remote=given.allow_remote)
         export.write_lines(found, export.memory_line(F.col("text"), F.col("embedding")), given.out, ["ord"])
         return 0
     service = config.build.system.generated

@@ -95,11 +95,12 @@ def everything(raw: DataFrame, config: Config, out: str, prompts=None) -> dict[s
     return write_dataset(conversations(clean(raw, config)[0], config, prompts), config, out)
 
 
-def memory(spark: SparkSession, messages: DataFrame, config: Config, folder: str, size=None, extract=None, merge=None, embed=None) -> DataFrame:
+def memory(spark: SparkSession, messages: DataFrame, config: Config, folder: str, size=None, extract=None, merge=None, embed=None, allow_remote: bool = False) -> DataFrame:
     """(text, embedding, ord) of the facts about the assistant's person.
 
     ``extract``, ``merge`` and ``embed`` make a partition's callable; by default
-    they are the configured services.  Tables between stages go to ``folder``.
+    they are the configured services, which are asked away from this machine only
+    with ``allow_remote``.  Tables between stages go to ``folder``.
     """
     require_roles(config)
     rules = config.memory
@@ -112,11 +113,11 @@ def memory(spark: SparkSession, messages: DataFrame, config: Config, folder: str
     size = measure(F.col("text"), 1, rules.token_encoding) if size is None else size
     requests = M.window_texts(own, size, rules.window_tokens).withColumnRenamed("win", "key")
     requests = keep(requests.repartition(max(1, rules.workers)), "windows")
-    ask = extract or (lambda: Client(rules.extract).generate)
+    ask = extract or (lambda: Client(rules.extract, allow_remote).generate)
     found = keep(M.facts(keep(M.answers(requests, ask, rules.extract.instruction.strip() or EXTRACT), "answers")), "facts")
     if rules.do_consolidate:
-        ask = merge or (lambda: Client(rules.consolidate).generate)
+        ask = merge or (lambda: Client(rules.consolidate, allow_remote).generate)
         found = M.consolidate(found, ask, rules.consolidate.instruction.strip() or CONSOLIDATE, rules.consolidate.batch_size, rules.consolidate_passes, keep)
     if rules.do_embeddings:
-        return keep(M.embeddings(found, embed or (lambda: Client(rules.embeddings).embed)), "embeddings")
+        return keep(M.embeddings(found, embed or (lambda: Client(rules.embeddings, allow_remote).embed)), "embeddings")
     return found.select("text", F.lit(None).cast("array<double>").alias("embedding"), "ord")

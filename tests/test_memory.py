@@ -163,3 +163,25 @@ def test_config(tmp_path):
     for bad in ({"val_ratio": 1.0}, {"format": "x"}, {"system_mode": "x"}, {"assistant_id": ""}, {"system_mode": "generated"}):
         with pytest.raises(ValueError):
             settings.override(loaded, **bad).validate() if bad != {"system_mode": "generated"} else settings.overlay(loaded, {"build": {"system": {"mode": "generated", "generated": {"batch_size": 0}}}}).validate()
+
+
+def test_memory_dry_run_and_workers(tmp_path, monkeypatch, capsys, spark):
+    from chatloom import cli
+    from chatloom.plans import commands
+
+    source = tmp_path / "clean.jsonl"
+    source.write_text("".join(f'{{"id": {i}, "date": {i}, "from_id": "{who}", "from": "x", "text": "hello"}}\n' for i, who in enumerate(["a", "u", "a"])))
+    config = tmp_path / "config.json"
+    config.write_text('{"roles": {"assistant_id": "a", "user_id": "u"}}')
+    asked = {}
+
+    def memory(spark, messages, config, folder, allow_remote=False):
+        asked.update(workers=config.memory.workers, allow_remote=allow_remote)
+        return spark.createDataFrame([], "text string, embedding array<double>, ord long")
+
+    monkeypatch.setattr(commands, "memory", memory)
+    given = ["memory", "--in", str(source), "--config", str(config), "--workers", "7", "--allow-remote"]
+    assert cli.main([*given, "--dry-run"]) == 0 and not asked
+    assert "messages of the assistant's person: 2" in capsys.readouterr().out
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["clean.jsonl", "config.json"]
+    assert cli.main([*given, "--out", str(tmp_path / "facts.jsonl")]) == 0 and asked == {"workers": 7, "allow_remote": True}
