@@ -12,9 +12,12 @@ Reading.  Files are read whole, by ``RECORDS`` records each, and parsed record b
 record while decompressing; a payload's digest and length come from its bytes, a
 revisit's from its header.
 
-Index.  The captures of one archive, sorted by (URL key, time, id), are a run.
-Runs are dealt into ranges of that order, the id included, so one much captured
-address is spread too; within a range a loser tree merges the runs.
+Index.  The captures of one archive, sorted by (URL key, time, id), are a run, and
+runs are written to the shared folder.  They are dealt into ranges of that order,
+the id included, so one much captured address is spread too; the number of ranges
+grows with the captures, about ``RANGE`` in each.  Within a range a loser tree merges
+the runs' parts as they arrive: nothing is sorted again, rows stay in Arrow, and of
+each run only ``BUFFER`` keys are Python objects at a time.
 """
 
 from __future__ import annotations
@@ -34,6 +37,9 @@ from chatloom.llm.shared import cut, partitions, scratch
 
 MIN_REVISIT = 0
 RECORDS = 1000
+#: Captures that a range holds, about, and keys read ahead from each run of it.
+RANGE = 100_000
+BUFFER = 64
 #: RFC 4648's alphabet, and the end of a record.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n\r\n"
@@ -196,27 +202,57 @@ class LoserTree:
             self.replay(run)
 
 
+def ascending(table: pa.Table) -> list[tuple[int, int]]:
+    """The stretches (from, to) of rows in index order: one run's part each, or several where they happen to follow on.
+
+    A part that the shuffle brings in pieces out of turn is several stretches, so the merge never relies on how rows travel.
+    """
+    ends, last, n = [0], None, 0
+    for batch in table.to_batches(max_chunksize=4096):
+        for key in keyed(batch):
+            if last is not None and key < last:
+                ends.append(n)
+            last, n = key, n + 1
+    return [(at, to) for at, to in zip(ends, [*ends[1:], n], strict=True) if to > at]
+
+
+def keyed(rows: pa.Table | pa.RecordBatch) -> Iterator[tuple]:
+    """``order`` of each row."""
+    url, at, name, archive, offset = (rows.column(c).to_pylist() for c in ("url_key", "captured_at", "id", "archive", "offset"))
+    return zip(url, at, [i or "" for i in name], archive, offset, strict=True)
+
+
+def ahead(table: pa.Table, at: int, to: int) -> Iterator[tuple[tuple, int]]:
+    """(key, row number) of rows ``at`` to ``to``, ``BUFFER`` of them read at a time."""
+    for start in range(at, to, BUFFER):
+        yield from zip(keyed(table.slice(start, min(BUFFER, to - start))), range(start, to), strict=False)
+
+
+def merge_runs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The rows in index order, merged from the table's ascending stretches."""
+    table = table.combine_chunks()
+    rows: list[int] = []
+    for _, row in LoserTree([ahead(table, at, to) for at, to in ascending(table)], key=lambda head: head[0]):
+        rows.append(row)
+        if len(rows) == 10_000:
+            yield from table.take(rows).to_batches()
+            rows = []
+    if rows:
+        yield from table.take(rows).to_batches()
+
+
 def merge_index(captures: DataFrame) -> DataFrame:
     """All captures in global order: partitions are consecutive ranges, each merged from its archives' runs."""
     spark = captures.sparkSession
     captures = cut(captures, "warc-runs")
+    ranges = max(partitions(spark), -(-captures.count() // RANGE))
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: dict[str, list[tuple]] = {}
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                runs.setdefault(row[7], []).append(row)
-        for run in runs.values():
-            run.sort(key=order)  # a run arrives in order unless its blocks were fetched out of turn
-        rows: list[tuple] = []
-        for row in LoserTree([runs[name] for name in sorted(runs)]):
-            rows.append(row)
-            if len(rows) == 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(KINDS)], names=NAMES)
-                rows = []
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(KINDS)], names=NAMES)
-
-    dealt = captures.repartitionByRange(partitions(spark), "url_key", "captured_at", F.coalesce("id", F.lit("")), "archive", "offset")
+        held = list(batches)
+        if held:
+            yield from merge_runs(pa.Table.from_batches(held))
+
+    dealt = captures.repartitionByRange(ranges, "url_key", "captured_at", F.coalesce("id", F.lit("")), "archive", "offset")
     return dealt.mapInArrow(merged, CAPTURES)
 
 

@@ -8,11 +8,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import clashing
 from pyspark.sql import functions as F
 
 from chatloom.llm import top_k as search
+from chatloom.llm import warc
 from chatloom.llm.line_dedup import html_lines, host_of, line_dedup
 from chatloom.llm.warc import LoserTree, base32_of_hex, read_warc, records, url_key, warc_index, write_warc
 
@@ -135,6 +137,31 @@ def test_warc(spark):
     assert warc_index(pages.limit(0), captured).count() == 0
 
 
+def test_more_ranges_than_partitions(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://{'hot' if i % 3 else i}.org/", f"v{i % 11}") for i in range(600)], "page_id long, url string, html string").repartition(5)
+    captured = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.col("page_id"), F.lit(7)))
+    whole = warc_index(pages, captured).drop("archive", "offset").collect()
+    monkeypatch.setattr(warc, "RANGE", 20)
+    index = warc_index(pages, captured)
+    assert index.rdd.getNumPartitions() == 30
+    found = index.drop("archive", "offset").collect()
+    order = [(r["url_key"], r["captured_at"], str(r["page_id"])) for r in found]
+    assert order == sorted(order) and sorted(map(str, found)) == sorted(map(str, whole)) and len(found) == 600
+
+
+def test_merge_of_runs_in_pieces(monkeypatch):
+    monkeypatch.setattr(warc, "BUFFER", 3)
+    rng = random.Random(8)
+    rows = [(f"k{rng.randint(0, 9)}", str(rng.randint(0, 3)), rng.choice([None, "1", "2"]), 1, "D", "response", None, f"a{i % 6}", i) for i in range(500)]
+    pieces = [part[at : at + 17] for name in range(6) for part in [sorted((r for r in rows if r[7] == f"a{name}"), key=warc.order)] for at in range(0, len(part), 17)]
+    rng.shuffle(pieces)  # as a shuffle may bring them
+    columns = list(zip(*(r for piece in pieces for r in piece), strict=True))
+    table = pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip(columns, warc.KINDS, strict=True)], names=warc.NAMES)
+    found = [r for batch in warc.merge_runs(table) for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    assert found == sorted(rows, key=warc.order)
+    assert list(warc.merge_runs(table.slice(0, 0))) == []
+
+
 def test_revisits_only_from_a_length_on(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     found = read_warc(spark, write_warc(pages, F.timestamp_seconds(F.lit(0)), min_revisit=5)).collect()
