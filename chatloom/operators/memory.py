@@ -12,11 +12,10 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from chatloom.functions.facts import fact_key, parse_list
 from chatloom.functions.text import month
-from chatloom.operators.sequence import batches, numbered, token_windows
+from chatloom.operators.sequence import DAY, batches, numbered, token_windows
 
 Ask = Callable[[str, str], str]
 
@@ -51,11 +50,15 @@ def facts(answered: DataFrame) -> DataFrame:
 
 
 def consolidation_batches(rows: DataFrame, size: int, even: bool) -> DataFrame:
-    """``rows`` (text, date, ord) with ``batch``: ``size`` neighbours by text in even passes, by date in odd ones."""
+    """``rows`` (text, date, ord) with ``batch``: ``size`` neighbours by text in even passes, by date in odd ones.
+
+    Positions are counted within texts of the same first three characters, or within days; only the counts meet in one place.
+    """
     size = size if size >= 2 else 40
-    order = ["text", "ord"] if even else ["date", "ord"]
-    position = F.row_number().over(Window.orderBy(*order)) - 1
-    return batches(rows.withColumn("position", position), "position", size)
+    # Code points follow the order of the texts, and three of 21 bits fit in a number; what is null comes first.
+    begins = sum((F.ascii(F.substring("text", at, 1)).cast("long") * F.lit(1 << bits) for at, bits in ((1, 42), (2, 21), (3, 0))), F.lit(0))
+    bucket = F.coalesce(begins, F.lit(-1)) if even else F.coalesce(F.floor(F.col("date") / DAY), F.lit(-(1 << 62)))
+    return batches(numbered(rows, bucket, ["text", "ord"] if even else ["date", "ord"], "position"), "position", size)
 
 
 def batch_requests(batched: DataFrame) -> DataFrame:

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from chatloom.clients import Client
 from chatloom.config import Config, Service, require_roles
+from chatloom.functions.facts import parse_list
 from chatloom.functions.tokens import measure
 from chatloom.operators import clean as C
 from chatloom.operators import conversations as V
 from chatloom.operators import inspect as I
 from chatloom.operators import memory as M
+from chatloom.plans.answers import below, digest, kept_answers, removed
 from chatloom.sources import export
 
 PERSONA = "These are messages one person wrote in a private chat. In one or two sentences, tell an assistant how to answer in this person's voice. Give the instruction alone."
@@ -53,40 +55,37 @@ def conversations(messages: DataFrame, config: Config, prompts: Callable[[DataFr
 
 
 def asked_prompts(cache: str, service: Service, allow_remote: bool = False) -> Callable[[DataFrame], DataFrame]:
-    """Prompts from a service, kept in a Parquet table at ``cache`` under a digest of all that they depend on."""
+    """Prompts from a service, kept wave by wave in a Parquet table at ``cache`` under a digest of all that they depend on."""
 
     def prompts(contexts: DataFrame) -> DataFrame:
-        spark, instruction = contexts.sparkSession, service.instruction.strip() or PERSONA
-        parts = [F.lit(service.model), F.lit(str(service.temperature)), F.lit(instruction), F.col("context")]
-        keyed = contexts.withColumn("key", F.sha2(F.concat_ws("\x1e", *parts), 256))
-        at = spark._jvm.org.apache.hadoop.fs.Path(cache)
-        if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-            known = spark.read.parquet(cache).dropDuplicates(["key"])
-        else:
-            known = spark.createDataFrame([], "key string, prompt string")
-        missing = keyed.join(known, "key", "left_anti").select("key", "context").dropDuplicates(["key"])
-
-        def asked(frames):
+        instruction = service.instruction.strip() or PERSONA
+
+        def ask() -> Callable[[str], str]:
             client = Client(service, allow_remote)
-            for frame in frames:
-                yield frame.assign(prompt=[client.generate(instruction, c) for c in frame["context"]])[["key", "prompt"]]
+            return lambda context: client.generate(instruction, context)
 
-        missing.repartition(1).mapInPandas(asked, "key string, prompt string").write.mode("append").parquet(cache)
-        return keyed.join(spark.read.parquet(cache).dropDuplicates(["key"]), "key").select("batch", "prompt")
+        keyed = contexts.select("batch", F.col("context").alias("content"), digest(service, instruction, "context").alias("digest"))
+        return keyed.join(kept_answers(keyed, "batch", cache, ask, "prompt string"), "digest").select("batch", "prompt")
 
     return prompts
 
 
 def write_dataset(made: DataFrame, config: Config, out: str) -> dict[str, int]:
-    """Writes one file folder, or train and val; returns their sizes."""
-    rules = config.build
+    """Writes one file folder, or train and val; returns their sizes.
+
+    The rows are computed once, into a table beside ``out`` that is removed in the end.
+    """
+    spark, rules, stage = made.sparkSession, config.build, f"{out}.stages"
     parts = V.split(made, rules.val_ratio, rules.seed).withColumn("line", V.encode(F.col("turns"), F.col("system"), rules.format))
     paths = dict(zip(("train", "val"), export.split_paths(out), strict=True)) if rules.val_ratio > 0 else {"train": out}
+    parts.select("part", "rank", "line").write.mode("overwrite").partitionBy("part").parquet(stage)
+    parts = spark.read.schema("rank bigint, line string, part string").parquet(stage)
     sizes = {}
     for part, path in paths.items():
         rows = parts.filter(F.col("part") == part)
         export.write_lines(rows, F.col("line"), path, ["rank"])
         sizes[part] = rows.count()
+    removed(spark, stage)
     return sizes
 
 
@@ -100,7 +99,9 @@ def memory(spark: SparkSession, messages: DataFrame, config: Config, folder: str
 
     ``extract``, ``merge`` and ``embed`` make a partition's callable; by default
     they are the configured services, which are asked away from this machine only
-    with ``allow_remote``.  Tables between stages go to ``folder``.
+    with ``allow_remote``.  Tables between stages go to ``folder``, and so does the
+    table of extracted facts, ``cache_file``, unless its path is absolute: a rerun
+    asks only for windows that it lacks.  Without a ``cache_file`` all are asked.
     """
     require_roles(config)
     rules = config.memory
@@ -113,8 +114,19 @@ def memory(spark: SparkSession, messages: DataFrame, config: Config, folder: str
     size = measure(F.col("text"), 1, rules.token_encoding) if size is None else size
     requests = M.window_texts(own, size, rules.window_tokens).withColumnRenamed("win", "key")
     requests = keep(requests.repartition(max(1, rules.workers)), "windows")
-    ask = extract or (lambda: Client(rules.extract, allow_remote).generate)
-    found = keep(M.facts(keep(M.answers(requests, ask, rules.extract.instruction.strip() or EXTRACT), "answers")), "facts")
+    ask, instruction = extract or (lambda: Client(rules.extract, allow_remote).generate), rules.extract.instruction.strip() or EXTRACT
+    if rules.cache_file:
+        keyed = requests.withColumn("digest", digest(rules.extract, instruction, "content"))
+
+        def listed() -> Callable[[str], list[str]]:
+            call = ask()
+            return lambda content: parse_list(call(instruction, content))
+
+        known = kept_answers(keyed, "key", below(folder, rules.cache_file), listed, "facts array<string>", rules.workers)
+        answered = keyed.join(known, "digest").select("key", "date", "facts")
+    else:
+        answered = keep(M.answers(requests, ask, instruction), "answers")
+    found = keep(M.facts(answered), "facts")
     if rules.do_consolidate:
         ask = merge or (lambda: Client(rules.consolidate, allow_remote).generate)
         found = M.consolidate(found, ask, rules.consolidate.instruction.strip() or CONSOLIDATE, rules.consolidate.batch_size, rules.consolidate_passes, keep)

@@ -79,6 +79,47 @@ def test_memory_run(spark, tmp_path):
     assert len({r["text"] for r in rows}) == len(rows) <= 4
 
 
+def test_extraction_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    from chatloom.plans import answers
+
+    monkeypatch.setattr(answers, "WAVE", 2)
+    calls = tmp_path / "calls"
+
+    def ask(broken):
+        def call(_, content):
+            if broken and calls.exists() and len(calls.read_text().splitlines()) >= 5:
+                raise RuntimeError("service is down")
+            with calls.open("a") as f:
+                f.write(repr(content) + "\n")
+            return json.dumps([f"Fact number {line}" for line in content.split("\n") if line])
+
+        return lambda: call
+
+    rows = spark.createDataFrame([(i, i, "a", "a", f"{i:04}", i) for i in range(24)], "id long, date long, from_id string, `from` string, text string, ord long")
+    config = Config(workers=1, roles=Roles("a", "u"))
+    config = replace(config, memory=replace(config.memory, workers=1, window_tokens=8, do_consolidate=False, do_embeddings=False))
+    run = lambda broken: commands.memory(spark, rows, config, str(tmp_path / "m"), F.char_length("text"), ask(broken))
+    with pytest.raises(Exception, match="service is down"):
+        run(True)
+    asked = calls.read_text().splitlines()
+    assert len(asked) == 5
+    found = [r["text"] for r in run(False).orderBy("ord").collect()]
+    assert found == [f"Fact number {i:04}" for i in range(24)]
+    again = calls.read_text().splitlines()[5:]
+    assert len(again) == 8 and len({*asked, *again}) == 12  # two waves of two are kept, the fifth call's was lost
+    assert [r["text"] for r in run(True).orderBy("ord").collect()] == found and len(calls.read_text().splitlines()) == 13
+    assert not (tmp_path / "m" / "memory_facts.json.lacking").exists()
+
+
+def test_consolidation_order(spark):
+    texts = ["", "a", "ab", "aé", "a\U0001f600", "a\uffff", "b", "abcd", "abca", "ab", "é", "\U0001f600", "zz"]
+    rows = [(t, (i * 7919) % 5 * 86_400 + i % 2, i) for i, t in enumerate(texts)] + [(None, None, 99)]
+    table = spark.createDataFrame(rows, "text string, date long, ord long").repartition(3)
+    for even, key in ((True, lambda r: (r[0] is not None, (r[0] or "").encode(), r[2])), (False, lambda r: (r[1] is not None, r[1] or 0, r[2]))):
+        found = M.consolidation_batches(table, 4, even).orderBy("position").select("text", "date", "ord", "position", "batch").collect()
+        assert [tuple(r) for r in found] == [(*r, i, i // 4) for i, r in enumerate(sorted(rows, key=key))]
+
+
 def test_records_and_display(spark):
     rows = spark.createDataFrame([("a", [1.5]), ("b", []), ("c", None)], "t string, e array<double>")
     assert [r[0] for r in rows.select(memory_line(F.col("t"), F.col("e"))).collect()] == ['{"text":"a","embedding":[1.5]}', '{"text":"b"}', '{"text":"c"}']
