@@ -6,47 +6,67 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 DAY = 86_400
+HOUR = 3_600
 
 
-def sessions(messages: DataFrame, gap_seconds: int, by: Sequence[str] = ()) -> DataFrame:
-    """``messages`` with ``session``: a new one after more than ``gap_seconds`` of silence.
+def slotted(keys: Sequence[str]) -> tuple[Column, WindowSpec, WindowSpec, WindowSpec]:
+    """The hour of a row (no date is the earliest), the order of rows inside it and up to a row, and the order of hours.
 
-    Rows are ordered by (date, id, ord).  Only per-day summaries meet in one place:
-    days are windowed apart, the latest date before a day and the breaks before it
-    come from one row per day.
+    Runs over a timeline are found inside its hours; one summary row per hour says
+    what the hours before carry over.  However long the timeline, no task holds
+    more rows of it than an hour's.
     """
+    inside = Window.partitionBy(*keys, "_slot").orderBy("date", "id", "ord")
+    slot = F.coalesce(F.floor(F.col("date") / HOUR), F.lit(-(1 << 62)))
+    return slot, inside, inside.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*keys).orderBy("_slot")
+
+
+def carried(rows: DataFrame, slots: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with ``name``: the breaks inside the hour (``_inner``) and before it, of ``slots`` (``_breaks``, ``_opens``)."""
+    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("_breaks") + F.col("_opens")).over(earlier), F.lit(0)) + F.col("_opens")
+    slots = slots.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate([*keys, "_slot"])], before.alias("_before"))
+    same = [F.col(k).eqNullSafe(F.col(f"_of{i}")) for i, k in enumerate([*keys, "_slot"])]
+    joined = rows.join(slots, reduce(and_, same)).withColumn(name, F.col("_before") + F.col("_inner"))
+    return joined.drop("_slot", "_last", "_break", "_inner", "_before", *[f"_of{i}" for i in range(len(same))])
+
+
+def sessions(messages: DataFrame, gap_seconds: int, by: Sequence[str] = ()) -> DataFrame:
+    """``messages`` with ``session``: a new one after more than ``gap_seconds`` of silence, in order of (date, id, ord)."""
     by = list(by)
-    rows = messages.withColumn("_day", F.floor(F.col("date") / DAY))
-    order = Window.partitionBy(*by, "_day").orderBy("date", "id", "ord")
-    earlier = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    # The first row of a day breaks or not by the day before; the others are known within it.
-    rows = rows.withColumn("_last", F.lag("date").over(order))
+    slot, inside, so_far, hours = slotted(by)
+    # The first row of an hour breaks or not by the hours before; the others are known within it.
+    rows = messages.withColumn("_slot", slot).withColumn("_last", F.lag("date").over(inside))
     rows = rows.withColumn("_break", F.coalesce((F.col("date") - F.col("_last") > gap_seconds).cast("long"), F.lit(0)))
-    rows = rows.withColumn("_inner", F.sum("_break").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    days = rows.groupBy(*by, "_day").agg(F.min("date").alias("_first"), F.max("date").alias("_max"), F.sum("_break").alias("_breaks"))
-    days = days.withColumn("_carry", F.max("_max").over(earlier))
-    days = days.withColumn("_opens", F.coalesce((F.col("_first") - F.col("_carry") > gap_seconds).cast("long"), F.lit(0)))
-    days = days.withColumn("_before", F.coalesce(F.sum(F.col("_breaks") + F.col("_opens")).over(earlier), F.lit(0)) + F.col("_opens"))
-    numbered = rows.join(days.select(*by, "_day", "_before"), [*by, "_day"])
-    return numbered.withColumn("session", F.col("_before") + F.col("_inner")).drop("_day", "_last", "_break", "_inner", "_before")
+    rows = rows.withColumn("_inner", F.sum("_break").over(so_far))
+    slots = rows.groupBy(*by, "_slot").agg(F.min("date").alias("_first"), F.max("date").alias("_max"), F.sum("_break").alias("_breaks"))
+    latest = F.max("_max").over(hours.rowsBetween(Window.unboundedPreceding, -1))
+    slots = slots.withColumn("_opens", F.coalesce((F.col("_first") - latest > gap_seconds).cast("long"), F.lit(0)))
+    return carried(rows, slots, by, "session")
 
 
 def bursts(rows: DataFrame, role: Column, separator: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per turn of a session: (by, session, turn_idx, role, content); neighbours of one role are joined."""
     keys = [*by, "session"]
-    order = Window.partitionBy(*keys).orderBy("date", "id", "ord")
-    rows = rows.withColumn("role", role)
-    rows = rows.withColumn("_change", F.coalesce((F.lag("role").over(order) != F.col("role")).cast("long"), F.lit(0)))
-    rows = rows.withColumn("turn_idx", F.sum("_change").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    slot, inside, so_far, hours = slotted(keys)
+    rows = rows.withColumn("role", role).withColumn("_slot", slot).withColumn("_last", F.lag("role").over(inside))
+    rows = rows.withColumn("_break", F.coalesce((F.col("_last") != F.col("role")).cast("long"), F.lit(0)))
+    rows = rows.withColumn("_inner", F.sum("_break").over(so_far))
+    at = F.struct("date", "id", "ord")
+    slots = rows.groupBy(*keys, "_slot").agg(F.min_by("role", at).alias("_first"), F.max_by("role", at).alias("_end"), F.sum("_break").alias("_breaks"))
+    slots = slots.withColumn("_opens", F.coalesce((F.lag("_end").over(hours) != F.col("_first")).cast("long"), F.lit(0)))
+    rows = carried(rows, slots, keys, "turn_idx")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("date", "id", "ord", "text"))), lambda m: m["text"]), separator)
     return rows.groupBy(*keys, "turn_idx").agg(F.first("role").alias("role"), joined.alias("content"))
 

@@ -163,3 +163,23 @@ def test_end_to_end(spark, tmp_path):
     sizes = commands.everything(export.read_export(spark, str(tmp_path / "e.json")), rules(val_ratio=0.25, session_gap_minutes=60), out)
     written = {part: spark.read.text(path).count() for part, path in zip(("train", "val"), export.split_paths(out), strict=True)}
     assert sizes == written and sizes["val"] == int(sum(sizes.values()) * 0.25) > 0
+
+
+def test_turns_of_long_sessions(spark):
+    rng = random.Random(4)
+    rows = []
+    for chat in ("x", "y", None):
+        at = 0
+        for i in range(200):
+            at += rng.choice([0, 60, 1800, 3000, 9000])
+            rows.append((chat, at, i, i, rng.choice("uua"), f"{i}"))
+    table = spark.createDataFrame(rows, "chat string, date long, id long, ord long, role string, text string").repartition(5)
+    expected, state = {}, {}
+    for chat, at, _, i, role, _ in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2], r[3])):
+        last, session, turn, said = state.get(chat, (at, 0, 0, role))
+        session, turn = (session + 1, 0) if at - last > 4000 else (session, turn + (said != role))
+        state[chat] = at, session, turn, role
+        expected.setdefault((chat, session, turn), (role, []))[1].append(str(i))
+    found = S.bursts(S.sessions(table, 4000, ["chat"]), F.col("role"), " ", ["chat"]).collect()
+    assert {(r["chat"], r["session"], r["turn_idx"]): (r["role"], r["content"].split(" ")) for r in found} == expected
+    assert len(found) == len(expected) > 100
