@@ -42,13 +42,17 @@ def line_dedup(pages: DataFrame, host: Column, text: Column, id_col: str = "page
 
     Lines are cut at newlines, trimmed of blanks, empty ones not counted; a line
     counts once a page.  Null hosts are one site, null texts have no lines.
-    Repeated rows count as pages and pass through, as do null ids.  An empty table
-    gives an empty result; other columns are ignored.
+    Repeated rows count as pages and pass through, as do null ids.  Long texts take
+    memory and time in proportion to their length.  An empty table gives an empty
+    result; other columns are ignored.
     """
     rows = pages.select(pages[id_col].alias("_id"), F.coalesce(host, F.lit("")).alias("_host"), F.coalesce(text, F.lit("")).alias("_text"))
     lines = F.filter(F.transform(F.split("_text", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     rows = rows.select("_id", "_host", lines.alias("_lines"))
-    digests = cut(rows.select("_id", "_host", F.transform("_lines", lambda x: F.md5(x)).alias("_md5")), "line-digests")
+    # A page is known by its id and its lines, so that repeated ids don't mix.  Written with
+    # the digests: beside an explode the hash of all lines would be taken again for each of them.
+    rows = rows.withColumn("_page", F.xxhash64(F.transform("_lines", lambda x: F.md5(x))))
+    digests = cut(rows.select("_id", "_host", "_page", F.transform("_lines", lambda x: F.md5(x)).alias("_md5")), "line-digests")
 
     total = digests.groupBy("_host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
     total = cut(total.select(F.col("_host").alias("_site"), "pages"), "line-hosts")
@@ -57,14 +61,13 @@ def line_dedup(pages: DataFrame, host: Column, text: Column, id_col: str = "page
     common = held.join(total, held["_host"] == total["_site"]).filter(F.col("n") > F.lit(ratio) * F.col("pages")).select(F.col("_site"), F.col("_line").alias("_common"))
     common = cut(common, "line-boilerplate")
 
-    # A page is known by its id and its lines, so that repeated ids don't mix.
-    page = F.xxhash64("_md5")
-    each = digests.select("_id", "_host", page.alias("_page"), F.posexplode("_md5").alias("_at", "_line"))
+    each = digests.select("_id", "_host", "_page", F.posexplode("_md5").alias("_at", "_line"))
     hits = each.join(common, (each["_host"] == common["_site"]) & (each["_line"] == common["_common"]))
     hits = cut(hits.groupBy("_id", "_page").agg(F.collect_set("_at").alias("_drop")).select(F.col("_id").alias("_of"), F.col("_page").alias("_its"), "_drop"), "line-drops")
-    rows = rows.withColumn("_page", F.xxhash64(F.transform("_lines", lambda x: F.md5(x))))
     rows = rows.join(hits, rows["_id"].eqNullSafe(hits["_of"]) & (rows["_page"] == hits["_its"]), "left")
-    kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x, i: ~F.array_contains("_drop", i)))
+    # The difference goes through a hash set: linear in a page's lines, however many of them are dropped.
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
+    kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.transform(left, lambda i: F.get("_lines", i)))
     return rows.select(
         F.col("_id").alias(id_col),
         F.col("_host").alias("host"),

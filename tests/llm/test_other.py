@@ -45,6 +45,16 @@ def test_lines(spark):
     assert line_dedup(docs.limit(0), host_of(F.col("url")), F.col("html")).count() == 0
 
 
+def test_lines_of_a_long_page(spark):
+    shared, own = [f"line {i}" for i in range(40_000)], [f"own {i}" for i in range(40_000)]
+    long = "\n".join(x for pair in zip(shared, own, strict=True) for x in pair)
+    rows = [(0, "http://a.com", long), (1, "http://a.com", "\n".join(shared)), (2, "http://a.com", "\n".join(shared[::-1]))]
+    rows += [(i, "http://a.com", f"short {i}") for i in range(3, 14)]
+    found = {r["page_id"]: r for r in line_dedup(spark.createDataFrame(rows, "page_id long, url string, html string"), host_of(F.col("url")), F.col("html")).collect()}
+    assert (found[0]["n_lines"], found[0]["n_dropped"], found[0]["kept_text"]) == (80_000, 40_000, "\n".join(own))
+    assert found[1]["kept_text"] == found[2]["kept_text"] == "" and found[2]["n_dropped"] == 40_000 and found[5]["kept_text"] == "short 5"
+
+
 def test_html_lines(spark):
     html = '<HTML><script>x<p></script><!-- <p> --><nav><li><a href="/">Home</a></li></nav><p class="a">one <b>two</b><br/>three<pre>four</pre><param>five'
     text = spark.createDataFrame([(html,)], "h string").select(html_lines(F.col("h"))).first()[0]
