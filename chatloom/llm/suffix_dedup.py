@@ -11,7 +11,7 @@ same offset, so no two equal windows part ways; of a text about every 35th
 position is an anchor, so windows travel not one by one but by their anchor.
 
 1. Documents are packed, ordered by id, into compressed rows of about ``PACK``
-   bytes, written once.
+   bytes, written once with their anchors.
 2. Each pack sends, per distinct (anchor, surroundings), its first occurrence:
    two 64-bit hashes, the document and the place.  An anchor's surroundings are
    all bytes that windows over it can reach, cut at the document's ends.
@@ -21,8 +21,17 @@ position is an anchor, so windows travel not one by one but by their anchor.
    sort the windows over them.
 5. Packs apply what was found.
 
-A passage in a third of all documents is one row per pack, so no task gathers it.
-Digits and surroundings are compared by 64-bit hashes, four and more a window.
+Hot anchors, such as a line shorter than the window in every document, have as many
+surroundings as occurrences.  Those with over ``CROWDED`` surroundings are not gathered by
+anchor: the windows that have them are dealt one by one by two hashes of all their digits,
+once a pack, and groups of equal ones are read off.  Anchors with more than about two
+``SHARE``-ths of all are known before step 2: each pack lists those with a
+``SHARE``-th of its own, so none can be missed and at most ``SHARE`` are broadcast.  The
+others come to light in step 3.  Both ways give the same windows.
+
+A passage in a third of all documents is one row per pack, and the number of parts
+that are dealt grows with the number of packs.  Digits and surroundings are compared
+by 64-bit hashes, four a window or two, not by a last look at the bytes.
 """
 
 from __future__ import annotations
@@ -44,8 +53,14 @@ DIGIT = 25
 PACK = 1 << 21
 #: Windows sorted at a time.
 SORTED = 1 << 21
+#: Surroundings of an anchor beyond which its windows are dealt by their own digits; the share of all anchors, as 1 / ``SHARE``, that is looked for beforehand.
+CROWDED = 4096
+SHARE = 4096
+#: Packs whose anchors, dealt, are as many as one part holds.
+TO_A_PART = 32
 STEP = np.uint64(0x5851F42D4C957F2D)
 MIX = np.uint64(0x9E3779B97F4A7C15)
+OTHER = np.uint64(0xD1342543DE82EF95)
 LAST = np.iinfo(np.int64).max
 
 
@@ -79,18 +94,49 @@ def _grams(codes: np.ndarray, size: int) -> np.ndarray:
         have *= 2
 
 
+#: Columns of a pack's row; ``heavy`` are the hashes that many of its anchors have, with their surroundings' number.
+PACKED = "pack bigint, ids binary, lengths binary, text binary, anchors binary, nulls int, n_anchors bigint, heavy array<struct<h:bigint,n:bigint>>"
+
+
 class Pack:
-    """Documents one after the other, ordered by id (null last)."""
+    """Documents one after the other, ordered by id (``nulls`` ones without an id last).
 
-    def __init__(self, number: int, ids: np.ndarray, lengths: np.ndarray, text: np.ndarray, window: int, gram: int):
+    ``places`` are the anchors, ``lows`` the first window of each; the windows that
+    have an anchor follow one another.
+    """
+
+    def __init__(self, number: int, ids: np.ndarray, lengths: np.ndarray, text: np.ndarray, window: int, gram: int, nulls: int = 0):
         self.number, self.ids, self.lengths, self.text = number, ids, lengths, text
-        self.window, self.gram = window, gram
+        self.window, self.gram, self.nulls = window, gram, nulls
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
 
     @classmethod
-    def of(cls, number: int, ids: bytes, lengths: bytes, text: bytes, window: int, gram: int) -> Pack:
-        return cls(number, np.frombuffer(ids, np.int64), np.frombuffer(lengths, np.int64), np.frombuffer(zstandard.decompress(text), np.uint8), window, gram)
+    def of(cls, row: list, window: int, gram: int) -> Pack:
+        number, ids, lengths, text, anchors, nulls, n, _ = row
+        own = cls(number, np.frombuffer(ids, np.int64), np.frombuffer(lengths, np.int64), np.frombuffer(zstandard.decompress(text), np.uint8), window, gram, nulls)
+        steps, before = _columns(anchors, [np.uint32, np.uint32]) if n else (np.zeros(0, np.uint32),) * 2
+        own.places = np.cumsum(steps, dtype=np.int64)
+        own.lows = own.places - before
+        return own
+
+    def row(self, share: int) -> tuple:
+        """What ``of`` reads back, in the order of ``PACKED``."""
+        self.places, self.lows = self.anchors()
+        packer = zstandard.ZstdCompressor(level=1)
+        steps = np.diff(self.places, prepend=0).astype(np.uint32)
+        anchors = packer.compress(steps.tobytes() + (self.places - self.lows).astype(np.uint32).tobytes())
+        return self.number, self.ids.tobytes(), self.lengths.tobytes(), packer.compress(self.text), anchors, self.nulls, len(self.places), self.heavy(share)
+
+    def heavy(self, share: int) -> list[dict]:
+        """Anchors that hold a ``share``-th of this pack's, with the number of their surroundings if that is as many."""
+        h = self.hashes(self.places)
+        order = np.argsort(h)
+        edges = np.flatnonzero(np.diff(h[order], prepend=~h[order][:1], append=~h[order][-1:]))
+        many = np.diff(edges) * share >= len(h)
+        chosen = order[np.repeat(many, np.diff(edges))]
+        kinds = np.unique(np.stack([h[chosen], self.surroundings(self.places[chosen])], axis=1), axis=0)[:, 0]
+        return [{"h": a, "n": n} for a, n in zip(*[x.tolist() for x in np.unique(kinds.view(np.int64), return_counts=True)], strict=True) if n * share >= len(h)]
 
     def hashes(self, at: np.ndarray) -> np.ndarray:
         """The hash of the gram at each place."""
@@ -103,10 +149,9 @@ class Pack:
         return np.searchsorted(self.ends, at, side="right")
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """(places, hashes) of the anchors of all windows."""
+        """(places, first windows) of the anchors of all windows."""
         reach = self.window - self.gram + 1
-        places, size = [], 1 << 20
-        last = np.repeat(self.ends - self.window, self.lengths)  # the last window of each byte's document
+        places, lows, size, latest = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 1 << 20, -1
         for at in range(0, len(self.text), size):
             codes = self.text[at : at + size + self.window - 1].astype(np.uint64)
             if len(codes) < self.window:
@@ -122,13 +167,32 @@ class Pack:
             behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
             n = len(codes) - self.window + 1
             least = np.minimum(behind[:n], ahead[reach - 1 : reach - 1 + n])
-            inside = np.arange(at, at + n) <= last[at : at + n]
-            places.append((least[inside] & np.uint64((1 << 22) - 1)).astype(np.int64) + at)
-        if not places:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        found = np.concatenate(places)
-        found = np.unique(found[np.flatnonzero(np.diff(found, prepend=-1))])
-        return found, self.hashes(found)
+            # The last window of the document that each of these starts lies in.
+            first, beyond = np.searchsorted(self.ends, at, side="right"), np.searchsorted(self.starts, at + n)
+            own = slice(first, beyond)
+            last = np.repeat(self.ends[own] - self.window, np.minimum(self.ends[own], at + n) - np.maximum(self.starts[own], at))
+            start = np.flatnonzero(np.arange(at, at + n) <= last)
+            place = (least[start] & np.uint64((1 << 22) - 1)).astype(np.int64) + at
+            new = np.flatnonzero(np.diff(place, prepend=latest))
+            places.append(place[new])
+            lows.append(start[new] + at)
+            latest = place[-1] if len(place) else latest
+        return np.concatenate(places), np.concatenate(lows)
+
+    def windows(self, at: np.ndarray) -> np.ndarray:
+        """The starts of all windows that have one of these anchors."""
+        which = np.searchsorted(self.places, np.sort(at))
+        following = np.append(self.lows[1:], len(self.text))[which] - 1
+        n = np.minimum(following, self.ends[self.document(self.places[which])] - self.window) - self.lows[which] + 1
+        return np.repeat(self.lows[which] - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+    def digits(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of all bytes of each window."""
+        one, two = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
+        for i in range(self.window):
+            code = self.text[starts + i].astype(np.uint64) + np.uint64(1)
+            one, two = one * STEP + code, two * OTHER + code
+        return _mixed(one), _mixed(two)
 
     def room(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the document before each place, at most window - gram, and from it on, at most window."""
@@ -151,7 +215,7 @@ class Pack:
 
     def firsts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(places, hashes, surroundings) of the first anchor of each kind, sorted by these hashes, and the places of later ones."""
-        at, h = self.anchors()
+        at, h = self.places, self.hashes(self.places)
         around = self.surroundings(at)
         order = np.lexsort((at, around, h))
         at, h, around = at[order], h[order], around[order]
@@ -259,35 +323,60 @@ def _block_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     return _mixed(out)
 
 
-def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digit: int = DIGIT, pack: int = PACK, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
+def suffix_dedup(
+    docs: DataFrame,
+    window: int = WINDOW,
+    gram: int = GRAM,
+    digit: int = DIGIT,
+    pack: int = PACK,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_kept: bool = False,
+    crowded: int = CROWDED,
+    share: int = SHARE,
+) -> DataFrame:
     """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, spans and, if asked, kept.
 
     Every byte goes that lies in a ``window``-byte string which also starts
     earlier: in a row of smaller id, or before in the same row.  ``spans`` are the
     maximal removed runs as (start, end) bytes, ``kept`` the remaining bytes.  Null
     texts are empty.  Null ids come after all others; rows with equal ids are in
-    an arbitrary but fixed order.  Texts shorter than the window lose nothing.  An
-    empty table gives an empty result; other columns are ignored.
+    an arbitrary but fixed order.  Texts shorter than the window lose nothing.  A
+    text longer than ``pack`` is a pack of its own, whose task holds it and its anchors
+    (some 6 bytes a byte).  An empty table gives an empty result; other columns
+    are ignored.  ``crowded`` and ``share`` decide how windows travel, never the result.
     """
     if not 0 < gram < window:
         raise ValueError("gram must be shorter than window")
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].cast("long").alias("_id"), F.coalesce(docs[text_col].cast("binary"), F.lit(b"")).alias("_text"), F.spark_partition_id().alias("_task"))
-    packs = cut(rows.mapInArrow(lambda b: _packed(b, pack), "pack bigint, ids binary, lengths binary, text binary"), "suffix-packs")
-    parts = 4 * partitions(spark)
+    packs = cut(rows.mapInArrow(lambda b: _packed(b, pack, window, gram, share), PACKED), "suffix-packs")
+    n_packs, n_anchors = packs.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_anchors"), F.lit(0))).first()
+    heavy = packs.select(F.explode("heavy").alias("e")).groupBy("e.h").agg(F.sum("e.n").alias("n")).filter(F.col("n") >= F.greatest(F.lit(crowded + 1), F.lit(-(-n_anchors // share))))
+    hot = np.array([r["h"] for r in heavy.collect()], np.int64).view(np.uint64)  # at most ``share`` of them
+    parts = max(4 * partitions(spark), n_packs // TO_A_PART)
+    tasks = max(partitions(spark), parts // 4)
     sent = "part int, pack bigint, data binary"
+    n_columns = len(PACKED.split(", "))
 
     def opened(batches: Iterator[pa.RecordBatch], *more: int) -> Iterator[tuple]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = [batch.column(c)[i].as_py() for c in range(4)]
-                yield Pack.of(*row, window, gram), *[batch.column(c)[i].as_py() or [] for c in more]
+                row = [batch.column(c)[i].as_py() for c in range(n_columns)]
+                yield Pack.of(row, window, gram), *[batch.column(n_columns + c)[i].as_py() or [] for c in more]
+
+    def dealt(made: DataFrame) -> DataFrame:
+        return made.repartition(tasks, "part").sortWithinPartitions("part")
 
     def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own, in opened(batches):
             at, h, around, _ = own.firsts()
+            few = ~np.isin(h, hot)
+            at, h, around = at[few], h[few], around[few]
             yield _rows(_dealt(own.number, h, parts, [h, around, own.ids[own.document(at)], at.astype(np.uint32)]), sent)
 
+    lists = "pack bigint, again binary, detail binary, crowd binary"
+
     def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, (h, around, doc, at) in _by_part(batches, [np.uint64, np.uint64, np.int64, np.uint32]):
             order = np.lexsort((at, number, doc, around, h))
@@ -297,17 +386,14 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digit:
             kind = head.copy()
             kind[1:] |= around[1:] != around[:-1]
             kinds = np.bincount(np.cumsum(head) - 1, kind)[np.cumsum(head) - 1]
-            again = dict(_to_packs(number[~kind], [at[~kind]]))
-            wanted = kind & (kinds > 1)
-            detail = dict(_to_packs(number[wanted], [at[wanted]]))
-            yield _rows(((p, again.get(p), detail.get(p)) for p in sorted({*again, *detail})), "pack bigint, again binary, detail binary")
+            found = [dict(_to_packs(number[which], [at[which]])) for which in (~kind, kind & (kinds > 1) & (kinds <= crowded), kind & (kinds > crowded))]
+            yield _rows(((p, *[f.get(p) for f in found]) for p in sorted({p for f in found for p in f})), lists)
 
-    dealt = packs.mapInArrow(asks, sent).repartition(partitions(spark), "part").sortWithinPartitions("part")
-    found = cut(dealt.mapInArrow(answers, "pack bigint, again binary, detail binary"), "suffix-answers")
+    found = cut(dealt(packs.mapInArrow(asks, sent)).mapInArrow(answers, lists), "suffix-answers")
 
     def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, details in opened(batches, 4):
-            at = np.sort(np.concatenate([np.frombuffer(d, np.uint32) for d in details])).astype(np.int64)
+        for own, details in opened(batches, 0):
+            at = np.sort(_places(details))
             for i in range(0, len(at), 20_000):
                 some = at[i : i + 20_000]
                 h = own.hashes(some)
@@ -321,79 +407,123 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digit:
                 place = at[order][member]
                 yield _rows(_to_packs(number[order][member], [place - offset.astype(np.uint32)]), "pack bigint, starts binary")
 
+    def crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, crowd in opened(batches, 0):
+            at = _places(crowd)
+            if len(hot):
+                first, h, *_ = own.firsts()
+                at = np.concatenate([at, first[np.isin(h, hot)]])
+            starts = own.windows(at)
+            digits = [own.digits(starts[i : i + SORTED // 8]) for i in range(0, len(starts), SORTED // 8)]
+            if not digits:
+                continue
+            one, two = (np.concatenate(d) for d in zip(*digits, strict=True))
+            order = np.lexsort((starts, two, one))
+            one, two, starts = one[order], two[order], starts[order].astype(np.uint32)
+            first = np.ones(len(one), bool)
+            first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            if not first.all():
+                yield _rows([(-1, own.number, starts[~first].tobytes())], sent)
+            columns = [one[first], two[first], own.ids[own.document(starts[first])], starts[first]]
+            yield _rows(_dealt(own.number, columns[0], parts, columns), sent)
+
+    def equal_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, (one, two, doc, at) in _by_part(batches, [np.uint64, np.uint64, np.int64, np.uint32]):
+            order = np.lexsort((at, number, doc, two, one))
+            number, one, two, at = number[order], one[order], two[order], at[order]
+            later = np.zeros(len(one), bool)
+            later[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
+            yield _rows(_to_packs(number[later], [at[later]]), "pack bigint, starts binary")
+
     def of_pack(column: str) -> DataFrame:
         lists = found.filter(F.col(column).isNotNull()).groupBy("pack").agg(F.collect_list(column).alias(column))
         return lists.withColumnRenamed("pack", f"_{column}")
 
     wanted = cut(of_pack("detail"), "suffix-details")
     asked = packs.join(wanted, packs["pack"] == wanted["_detail"]).drop("_detail")
-    dealt = asked.mapInArrow(surroundings, sent).repartition(partitions(spark), "part").sortWithinPartitions("part")
-    starts = dealt.mapInArrow(sorted_windows, "pack bigint, starts binary").groupBy("pack").agg(F.collect_list("starts").alias("starts")).withColumnRenamed("pack", "_starts")
+    starts = dealt(asked.mapInArrow(surroundings, sent)).mapInArrow(sorted_windows, "pack bigint, starts binary")
+    if len(hot) or not found.filter("crowd is not null").isEmpty():
+        crowd = cut(of_pack("crowd"), "suffix-crowds")
+        asked = packs.join(crowd, packs["pack"] == crowd["_crowd"], "left" if len(hot) else "inner").drop("_crowd")
+        made = cut(asked.mapInArrow(crowds, sent), "suffix-windows")
+        starts = starts.unionByName(made.filter("part < 0").select("pack", F.col("data").alias("starts")))
+        starts = starts.unionByName(dealt(made.filter("part >= 0")).mapInArrow(equal_windows, "pack bigint, starts binary"))
+    starts = starts.groupBy("pack").agg(F.collect_list("starts").alias("starts")).withColumnRenamed("pack", "_starts")
     verdict = cut(of_pack("again").join(starts, F.col("_again") == F.col("_starts"), "full").select(F.coalesce("_again", "_starts").alias("_of"), "again", "starts"), "suffix-verdicts")
 
     schema = f"`{id_col}` bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>" + ", kept binary" * with_kept
 
     def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, again, partly in opened(batches, 4, 5):
-            yield _rows(_kept(own, again, partly, with_kept), schema)
+        for own, again, partly in opened(batches, 0, 1):
+            yield _rows(_kept(own, _places(again), _places(partly), with_kept), schema)
 
     everything = packs.join(verdict, packs["pack"] == verdict["_of"], "left").drop("_of")
     kind = docs.schema[id_col].dataType
     return everything.mapInArrow(applied, schema).withColumn(id_col, F.col(f"`{id_col}`").cast(kind))
 
 
-def _kept(own: Pack, again: list[bytes], partly: list[bytes], with_kept: bool) -> Iterator[tuple]:
+def _places(lists: list[bytes]) -> np.ndarray:
+    """Places that came back, one after the other."""
+    return np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(d, np.uint32) for d in lists]])
+
+
+def _kept(own: Pack, again: np.ndarray, partly: np.ndarray, with_kept: bool) -> Iterator[tuple]:
     """The result rows of a pack, from the anchors and windows found to repeat."""
-    n = len(own.text)
     *_, later = own.firsts()
-    repeated = np.concatenate([later, *[np.frombuffer(d, np.uint32).astype(np.int64) for d in again]])
-    change = np.zeros(n + 1, np.int32)
-    if len(repeated):  # all windows over these anchors
-        left, right = own.room(repeated)
-        np.add.at(change, repeated - left, 1)
-        np.add.at(change, np.maximum(repeated + right - own.window, repeated - left - 1) + 1, -1)
-    starts = np.cumsum(change[:n]) > 0
-    for d in partly:
-        starts[np.frombuffer(d, np.uint32)] = True
-    first = np.flatnonzero(starts)
-    change = np.zeros(n + 1, np.int32)
-    np.add.at(change, first, 1)
-    np.add.at(change, first + own.window, -1)
-    gone = np.cumsum(change[:n]) > 0
-    for doc, a, b in zip(own.ids.tolist(), own.starts.tolist(), own.ends.tolist(), strict=True):
-        flags = gone[a:b]
-        edges = np.flatnonzero(np.diff(flags.view(np.int8), prepend=0, append=0)).reshape(-1, 2)
-        kept = own.text[a:b][~flags].tobytes()
-        spans = [{"start": s, "end": e} for s, e in edges.tolist()]
-        row = (None if doc == LAST else doc, b - a, int(flags.sum()), len(spans), hashlib.sha256(kept).hexdigest(), spans)
-        yield (*row, kept) if with_kept else row
-
-
-def _packed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    repeated = np.concatenate([later, again])
+    left, right = own.room(repeated)  # all windows over these anchors
+    start = np.concatenate([repeated - left, partly])
+    end = np.concatenate([repeated + right, partly + own.window])
+    order = np.argsort(start)
+    start, end = start[order], np.maximum.accumulate(end[order])
+    new = np.ones(len(start), bool)
+    new[1:] = (start[1:] > end[:-1]) | np.diff(own.document(start)).astype(bool)
+    heads = np.flatnonzero(new)
+    start, end = start[heads], end[np.append(heads[1:], len(end))[: len(heads)] - 1]
+    of = np.searchsorted(start, np.append(own.starts, len(own.text)))
+    known = len(own.ids) - own.nulls
+    for i, (doc, a, b) in enumerate(zip(own.ids.tolist(), own.starts.tolist(), own.ends.tolist(), strict=True)):
+        runs = list(zip(start[of[i] : of[i + 1]].tolist(), end[of[i] : of[i + 1]].tolist(), strict=True)) if b > a else []
+        digest, kept, at = hashlib.sha256(), [], a
+        for s, e in [*runs, (b, b)]:
+            digest.update(own.text[at:s])
+            if with_kept:
+                kept.append(own.text[at:s].tobytes())
+            at = e
+        spans = [{"start": s - a, "end": e - a} for s, e in runs]
+        row = (doc if i < known else None, b - a, sum(e - s for s, e in runs), len(spans), digest.hexdigest(), spans)
+        yield (*row, b"".join(kept)) if with_kept else row
+
+
+def _packed(batches: Iterator[pa.RecordBatch], size: int, window: int, gram: int, share: int) -> Iterator[pa.RecordBatch]:
     """Rows gathered into packs of about ``size`` bytes, each ordered by id."""
     held, total, count, task = [], 0, 0, 0
-    packer = zstandard.ZstdCompressor(level=1)
 
     def packed() -> pa.RecordBatch:
-        held.sort(key=lambda r: r[0])
-        row = ((task << 32) + count, np.array([r[0] for r in held], np.int64).tobytes(), np.array([len(r[1]) for r in held], np.int64).tobytes(), packer.compress(b"".join(r[1] for r in held)))
-        return _rows([row], "pack bigint, ids binary, lengths binary, text binary")
+        held.sort(key=lambda r: (r[0] is None, r[0] or 0))
+        ids = np.array([LAST if r[0] is None else r[0] for r in held], np.int64)
+        lengths = np.array([len(r[1]) for r in held], np.int64)
+        nulls = sum(r[0] is None for r in held)
+        text = np.frombuffer(b"".join(r[1] for r in held), np.uint8)
+        held.clear()
+        return _rows([Pack((task << 32) + count, ids, lengths, text, window, gram, nulls).row(share)], PACKED)
 
     for batch in batches:
         for doc, text, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
             task = own
-            held.append((LAST if doc is None else doc, text.as_buffer().to_pybytes()))
+            held.append((doc, text.as_buffer().to_pybytes()))
             total += len(held[-1][1])
             if total >= size:
                 yield packed()
-                held, total, count = [], 0, count + 1
+                total, count = 0, count + 1
     if held:
         yield packed()
 
 
 def _rows(rows, schema: str) -> pa.RecordBatch:
     """Python rows as a batch with the columns of a Spark schema."""
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<struct<start:bigint,end:bigint>>": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))}
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    kinds |= {f"array<struct<{a}:bigint,{b}:bigint>>": pa.list_(pa.struct([(a, pa.int64()), (b, pa.int64())])) for a, b in (("start", "end"), ("h", "n"))}
     fields = [f.rsplit(" ", 1) for f in schema.split(", ")]
     rows = list(rows)
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields)], names=[name.strip("`") for name, _ in fields])

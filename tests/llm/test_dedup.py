@@ -147,6 +147,33 @@ def test_suffix(spark, monkeypatch, window, gram, digit, pack, alphabet):
         assert sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"] and hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"]
 
 
+@pytest.mark.parametrize(("crowded", "share"), [(0, 1 << 30), (3, 50), (3, 1), (1 << 30, 1)])
+def test_suffix_of_hot_anchors(spark, crowded, share):
+    """A line shorter than the window in every document, one longer, and texts beyond a pack; with and without windows dealt by their digits."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(1, 9)))
+    short, long, passage = "menu of the site " * 2, "a line that is longer than the window, everywhere", " ".join(word() for _ in range(30))
+    rows = []
+    for d in range(120):
+        lines = [" ".join(word() for _ in range(rng.randint(0, 12))) for _ in range(3)] + [short, rng.choice([short, long]), rng.choice([passage, word()])]
+        rng.shuffle(lines)
+        rows.append((rng.randint(-50, 50) if d % 5 else 1000 + d, "\n".join(lines)))
+    rows = list(dict(rows).items()) + [((1 << 63) - 1, short + long), (None, long + passage), (-60, "é" * 3000 + passage + "".join(rng.choices("ab", k=4000))), (2000, None)]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = suffix_dedup.suffix_dedup(frame, 40, 16, 10, 700, with_kept=True, crowded=crowded, share=share).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, *r[1:5]) for r in found) == sorted((r[0] is None, r[0] or 0, *r[1:]) for r in removed(rows, 40))
+
+
+def test_suffix_of_a_long_text(spark):
+    """Several blocks of anchors in a text longer than a pack, of which the second half repeats the first."""
+    half = "".join(random.Random(6).choices("abcdefghij", k=1_500_000))
+    rows = [(1, half + "|" + half), (2, half[700_000:900_000])]
+    found = {r["doc_id"]: r for r in suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    assert (found[1]["n_bytes"], found[1]["n_removed"], found[1]["n_spans"]) == (3_000_001, 1_500_000, 1)
+    assert [tuple(s) for s in found[1]["spans"]] == [(1_500_001, 3_000_001)] and [tuple(s) for s in found[2]["spans"]] == [(0, 200_000)]
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact_dedup(empty).count() == simhash_components(empty).count() == suffix_dedup.suffix_dedup(empty).count() == drop_exact(empty).count() == drop_near(empty).count() == 0
