@@ -1,8 +1,8 @@
 """Line dedup by site-relative frequency.
 
 A line of a page is boilerplate when the share of its host's pages that hold it
-exceeds ``RATIO`` and more than one page holds it; hosts with fewer than ``MIN_PAGES``
-pages are not judged.
+exceeds ``RATIO`` and more than one page holds it.  Every host is judged; on one with a
+single page no line can be boilerplate.
 
 Lines travel as digests.  Counting is partial per task before any shuffle, on
 the key (host, line), so neither a host with a third of all pages nor a line on
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from chatloom.llm.shared import cut
 
 RATIO = 0.15
-MIN_PAGES = 10
 #: Fixed values, written so that Java's and RE2's regular expressions agree.
 HIDDEN = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
 BLOCK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)(?:[\s/][^>]*)?>"
@@ -37,7 +36,7 @@ def html_lines(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, BLOCK, "\n"), TAG, "")
 
 
-def line_dedup(pages: DataFrame, host: Column, text: Column, id_col: str = "page_id", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def line_dedup(pages: DataFrame, host: Column, text: Column, id_col: str = "page_id", ratio: float = RATIO) -> DataFrame:
     """One row per input row: id, host, n_lines, n_dropped, kept_text.
 
     Lines are cut at newlines, trimmed of blanks, empty ones not counted; a line
@@ -54,7 +53,7 @@ def line_dedup(pages: DataFrame, host: Column, text: Column, id_col: str = "page
     rows = rows.withColumn("_page", F.xxhash64(F.transform("_lines", lambda x: F.md5(x))))
     digests = cut(rows.select("_id", "_host", "_page", F.transform("_lines", lambda x: F.md5(x)).alias("_md5")), "line-digests")
 
-    total = digests.groupBy("_host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
+    total = digests.groupBy("_host").agg(F.count(F.lit(1)).alias("pages")).filter("pages > 1")
     total = cut(total.select(F.col("_host").alias("_site"), "pages"), "line-hosts")
     held = digests.select("_host", F.explode(F.array_distinct("_md5")).alias("_line")).groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     held = cut(held, "line-counts")

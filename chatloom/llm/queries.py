@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from chatloom.llm.exact_dedup import exact_dedup
 from chatloom.llm.language_id import fit_language_models, held_out, identify_languages
-from chatloom.llm.line_dedup import BLOCK, HIDDEN, HOST, MIN_PAGES, RATIO, TAG, html_lines, host_of, line_dedup
+from chatloom.llm.line_dedup import BLOCK, HIDDEN, HOST, RATIO, TAG, html_lines, host_of, line_dedup
 from chatloom.llm.mixing import mix
 from chatloom.llm.pieces import encode_pieces
 from chatloom.llm.simhash import simhash_components
@@ -139,7 +139,7 @@ SQL = {
         c AS (
             SELECT host, line FROM (SELECT host, line, count(DISTINCT page_id) AS n FROM e GROUP BY ALL)
             JOIN (SELECT host, count(*) AS pages FROM l GROUP BY ALL) USING (host)
-            WHERE pages >= {MIN_PAGES} AND n > 1 AND n > {RATIO}::DOUBLE * pages),
+            WHERE n > 1 AND n > {RATIO}::DOUBLE * pages),
         k AS (
             SELECT page_id, count(*) FILTER (c.line IS NOT NULL) AS n_dropped,
                    coalesce(string_agg(e.line, chr(10) ORDER BY pos) FILTER (c.line IS NULL), '') AS kept

@@ -36,7 +36,7 @@ def test_lines(spark):
     split = [(i, host(u), [x.strip(" ") for x in (t or "").split("\n") if x.strip(" ")]) for i, u, t in rows]
     pages = Counter(h for _, h, _ in split)
     held = Counter((h, x) for _, h, xs in split for x in set(xs))
-    gone = {k for k, n in held.items() if pages[k[0]] >= 10 and n > 1 and n > 0.15 * pages[k[0]]}
+    gone = {k for k, n in held.items() if n > 1 and n > 0.15 * pages[k[0]]}
     expected = [(i, h, len(xs), sum((h, x) in gone for x in xs), "\n".join(x for x in xs if (h, x) not in gone)) for i, h, xs in split]
     docs = clashing(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4))
     found = line_dedup(docs, host_of(F.col("url")), F.col("html")).collect()
