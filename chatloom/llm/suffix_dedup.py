@@ -224,9 +224,9 @@ class Pack:
         return at[first], h[first], around[first], at[~first]
 
 
-def _dealt(number: int, h: np.ndarray, parts: int, columns: list[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
-    """(part, pack, columns one after the other, compressed) for the parts that ``h`` deals rows to."""
-    part = (h % np.uint64(parts)).astype(np.int64)
+def _dealt(number: int, h: np.ndarray, parts: int, columns: list[np.ndarray], kind: int = 0) -> Iterator[tuple[int, int, bytes]]:
+    """(part, pack, columns one after the other, compressed) for the parts of a kind that ``h`` deals rows to."""
+    part = (h % np.uint64(parts)).astype(np.int64) + kind * parts
     order = np.argsort(part, kind="stable")
     part, columns = part[order], [c[order] for c in columns]
     edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
@@ -247,14 +247,15 @@ def _columns(data: bytes, kinds: list) -> list[np.ndarray]:
     return out
 
 
-def _by_part(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Per part, its rows' packs and columns; rows come sorted by part."""
+def _by_part(batches: Iterator[pa.RecordBatch], kinds: list[list], parts: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """Per part, which of ``kinds`` it holds, its rows' packs and columns; rows come sorted by part, ``parts`` parts of each kind."""
     part, held = None, []
 
     def whole():
-        columns = [_columns(data, kinds) for _, data in held]
+        kind = part // parts
+        columns = [_columns(data, kinds[kind]) for _, data in held]
         packs = np.repeat(np.array([p for p, _ in held]), [len(c[0]) for c in columns])
-        return packs, [np.concatenate(c) for c in zip(*columns, strict=True)]
+        return kind, packs, [np.concatenate(c) for c in zip(*columns, strict=True)]
 
     for batch in batches:
         for own, pack, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -378,7 +379,7 @@ def suffix_dedup(
     lists = "pack bigint, again binary, detail binary, crowd binary"
 
     def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (h, around, doc, at) in _by_part(batches, [np.uint64, np.uint64, np.int64, np.uint32]):
+        for _, number, (h, around, doc, at) in _by_part(batches, [[np.uint64, np.uint64, np.int64, np.uint32]], parts):
             order = np.lexsort((at, number, doc, around, h))
             number, h, around, at = number[order], h[order], around[order], at[order]
             head = np.ones(len(h), bool)
@@ -391,65 +392,59 @@ def suffix_dedup(
 
     found = cut(dealt(packs.mapInArrow(asks, sent)).mapInArrow(answers, lists), "suffix-answers")
 
+    # What is dealt next, by kind: surroundings of an anchor's place, windows by their digits, and places known to repeat.
+    kinds = [[np.uint64, np.int64, np.uint32, (np.uint16, (2 * window - gram,))], [np.uint64, np.uint64, np.int64, np.uint32], [np.uint32]]
+
     def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, details in opened(batches, 0):
+        for own, details, crowd in opened(batches, 0, 1):
             at = np.sort(_places(details))
             for i in range(0, len(at), 20_000):
                 some = at[i : i + 20_000]
                 h = own.hashes(some)
                 yield _rows(_dealt(own.number, h, parts, [h, own.ids[own.document(some)], some.astype(np.uint32), own.around(some)]), sent)
-
-    def sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (h, doc, at, around) in _by_part(batches, [np.uint64, np.int64, np.uint32, (np.uint16, (2 * window - gram,))]):
-            order = np.lexsort((at, number, doc, h))
-            group = np.cumsum(np.diff(h[order], prepend=h[order][:1]) != 0)
-            for member, offset in _repeats(group, around[order], window, gram, digit):
-                place = at[order][member]
-                yield _rows(_to_packs(number[order][member], [place - offset.astype(np.uint32)]), "pack bigint, starts binary")
-
-    def crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, crowd in opened(batches, 0):
             at = _places(crowd)
             if len(hot):
                 first, h, *_ = own.firsts()
                 at = np.concatenate([at, first[np.isin(h, hot)]])
-            starts = own.windows(at)
-            digits = [own.digits(starts[i : i + SORTED // 8]) for i in range(0, len(starts), SORTED // 8)]
-            if not digits:
-                continue
-            one, two = (np.concatenate(d) for d in zip(*digits, strict=True))
-            order = np.lexsort((starts, two, one))
-            one, two, starts = one[order], two[order], starts[order].astype(np.uint32)
-            first = np.ones(len(one), bool)
-            first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-            if not first.all():
-                yield _rows([(-1, own.number, starts[~first].tobytes())], sent)
-            columns = [one[first], two[first], own.ids[own.document(starts[first])], starts[first]]
-            yield _rows(_dealt(own.number, columns[0], parts, columns), sent)
-
-    def equal_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (one, two, doc, at) in _by_part(batches, [np.uint64, np.uint64, np.int64, np.uint32]):
-            order = np.lexsort((at, number, doc, two, one))
-            number, one, two, at = number[order], one[order], two[order], at[order]
-            later = np.zeros(len(one), bool)
-            later[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
-            yield _rows(_to_packs(number[later], [at[later]]), "pack bigint, starts binary")
-
-    def of_pack(column: str) -> DataFrame:
-        lists = found.filter(F.col(column).isNotNull()).groupBy("pack").agg(F.collect_list(column).alias(column))
-        return lists.withColumnRenamed("pack", f"_{column}")
-
-    wanted = cut(of_pack("detail"), "suffix-details")
-    asked = packs.join(wanted, packs["pack"] == wanted["_detail"]).drop("_detail")
+            yield _rows(windows(own, own.windows(at)), sent)
+
+    def windows(own: Pack, starts: np.ndarray) -> Iterator[tuple]:
+        if not len(starts):
+            return
+        one, two = (np.concatenate(d) for d in zip(*[own.digits(starts[i : i + SORTED // 8]) for i in range(0, len(starts), SORTED // 8)], strict=True))
+        order = np.lexsort((starts, two, one))
+        one, two, starts = one[order], two[order], starts[order].astype(np.uint32)
+        first = np.ones(len(one), bool)
+        first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        yield from _dealt(own.number, one[first], parts, [one[first], two[first], own.ids[own.document(starts[first])], starts[first]], 1)
+        later = starts[~first]
+        yield from _dealt(own.number, np.full(len(later), own.number, np.uint64), parts, [later], 2)
+
+    def sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, number, columns in _by_part(batches, kinds, parts):
+            if kind == 0:
+                h, doc, at, around = columns
+                order = np.lexsort((at, number, doc, h))
+                group = np.cumsum(np.diff(h[order], prepend=h[order][:1]) != 0)
+                found = ((number[order][member], at[order][member] - offset.astype(np.uint32)) for member, offset in _repeats(group, around[order], window, gram, digit))
+            elif kind == 1:
+                one, two, doc, at = columns
+                order = np.lexsort((at, number, doc, two, one))
+                one, two = one[order], two[order]
+                later = np.flatnonzero((one[1:] == one[:-1]) & (two[1:] == two[:-1])) + 1
+                found = [(number[order][later], at[order][later])]
+            else:
+                found = [(number, columns[0])]
+            for packs, starts in found:
+                yield _rows(_to_packs(packs, [starts]), "pack bigint, starts binary")
+
+    wanted = found.filter("detail is not null or crowd is not null").groupBy("pack").agg(F.collect_list("detail").alias("detail"), F.collect_list("crowd").alias("crowd"))
+    wanted = cut(wanted.withColumnRenamed("pack", "_wanted"), "suffix-wanted")
+    asked = packs.join(wanted, packs["pack"] == wanted["_wanted"], "left" if len(hot) else "inner").drop("_wanted")
     starts = dealt(asked.mapInArrow(surroundings, sent)).mapInArrow(sorted_windows, "pack bigint, starts binary")
-    if len(hot) or not found.filter("crowd is not null").isEmpty():
-        crowd = cut(of_pack("crowd"), "suffix-crowds")
-        asked = packs.join(crowd, packs["pack"] == crowd["_crowd"], "left" if len(hot) else "inner").drop("_crowd")
-        made = cut(asked.mapInArrow(crowds, sent), "suffix-windows")
-        starts = starts.unionByName(made.filter("part < 0").select("pack", F.col("data").alias("starts")))
-        starts = starts.unionByName(dealt(made.filter("part >= 0")).mapInArrow(equal_windows, "pack bigint, starts binary"))
     starts = starts.groupBy("pack").agg(F.collect_list("starts").alias("starts")).withColumnRenamed("pack", "_starts")
-    verdict = cut(of_pack("again").join(starts, F.col("_again") == F.col("_starts"), "full").select(F.coalesce("_again", "_starts").alias("_of"), "again", "starts"), "suffix-verdicts")
+    again = found.filter("again is not null").groupBy("pack").agg(F.collect_list("again").alias("again"))
+    verdict = cut(again.join(starts, F.col("pack") == F.col("_starts"), "full").select(F.coalesce("pack", "_starts").alias("_of"), "again", "starts"), "suffix-verdicts")
 
     schema = f"`{id_col}` bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>" + ", kept binary" * with_kept
 
