@@ -67,11 +67,12 @@ def main(argv: list[str] | None = None) -> int:
         raise SystemExit("--out is needed unless --dry-run is given")
     if given.command in ("clean", "all"):
         reasoned = C.with_reason(export.read_export(spark, given.source, config.workers), config)
-        counts = {r["reason"]: r["n"] for r in C.histogram(reasoned).collect()}
-        print(f"read {sum(counts.values())}, kept {counts.get('kept', 0)}")
-        for reason, label in C.REASONS.items():
-            if counts.get(reason):
-                print(f"  {label}: {counts[reason]}")
+        (_, _, read), *counts = sorted(tuple(r) for r in C.report(C.histogram(reasoned)).collect())
+        kept = next((n for place, _, n in counts if place == 1), 0)
+        print(f"read {read}, kept {kept}")
+        for place, label, n in counts:
+            if place > 1:
+                print(f"  {label}: {n}")
         messages = C.messages(reasoned)
         if given.command == "clean":
             if not given.dry_run:

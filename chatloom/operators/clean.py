@@ -51,6 +51,13 @@ def messages(reasoned: DataFrame) -> DataFrame:
     )
 
 
+def report(counts: DataFrame) -> DataFrame:
+    """(place, label, n) of a histogram: rows read and kept first, then the drop reasons that occur in the report's order."""
+    labels = counts.sparkSession.createDataFrame([(i + 2, r, label) for i, (r, label) in enumerate(REASONS.items())] + [(1, "kept", "kept")], "place int, reason string, label string")
+    named = counts.join(F.broadcast(labels), "reason").select("place", "label", "n")
+    return counts.agg(F.lit(0).alias("place"), F.lit("read").alias("label"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).unionByName(named)
+
+
 def histogram(reasoned: DataFrame) -> DataFrame:
     """(reason, n), ``kept`` included; rows read are their sum."""
     return reasoned.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

@@ -232,9 +232,55 @@ def parse_list(spark, sf_dir):
     return found.select("doc_id", F.size("facts").cast("long").alias("n"), F.md5(F.array_join("facts", "|")).alias("digest"))
 
 
+def drop_report(spark, sf_dir):
+    return C.report(clean_reason_histogram(spark, sf_dir))
+
+
+def sticker_emoji(spark, sf_dir):
+    """Every event a sticker without text, some without an emoji, some no sticker."""
+    n = F.col("event_id")
+    raw = table(spark, sf_dir, "events").select(
+        n.alias("id"), n.alias("ord"), F.lit("message").alias("type"), F.lit("user").alias("from_id"), F.lit("").alias("from"),
+        n.cast("string").alias("date_unixtime"), F.to_variant_object(F.array(F.lit(""))).alias("text"),
+        F.array(F.struct(F.lit("plain").alias("type"), F.when(n % 7 == 0, "said").otherwise(" ").alias("text"), F.lit("").alias("href"))).alias("text_entities"),
+        F.when(n % 3 == 0, "voice").when(n % 3 == 1, "sticker").alias("media_type"), F.when(n % 2 == 0, F.col("event_type")).alias("sticker_emoji"),
+        F.lit(None).cast("string").alias("forwarded_from"), F.lit("").alias("via_bot"),
+    )
+    reasoned = C.with_reason(raw, Config(workers=1, roles=ROLES, clean=Clean(min_runes=1, stickers_to_emoji=True)))
+    return reasoned.select("id", "clean_text", "reason")
+
+
+def epoch_parse(spark, sf_dir):
+    """Seconds as text: plain, signed, padded, with a fraction, empty, beyond 64 bits."""
+    digits, shape = F.col("event_id").cast("string"), F.col("event_id") % 8
+    text = digits
+    for i, other in enumerate([F.concat(F.lit("-"), digits), F.concat(F.lit("+00"), digits), F.concat(F.lit(" "), digits), F.concat(digits, F.lit(".5")), F.lit(""), F.lit("99999999999999999999"), F.lit("-99999999999999999999")]):
+        text = F.when(shape == i + 1, other).otherwise(text)
+    return table(spark, sf_dir, "events").select("event_id", T.epoch(text).alias("date"))
+
+
+def no_split(spark, sf_dir):
+    return V.split(whole(spark, sf_dir), 0.0, SEED).select("conv_ord", "rank", "part")
+
+
+def system_generated(spark, sf_dir):
+    """Each conversation's prompt is that of its batch; a digest of the batch's context stands for an answer."""
+    made, rules = whole(spark, sf_dir), System(mode="generated")
+    prompts = V.batch_contexts(made, rules.generated.batch_size, 5).select("batch", F.md5("context").alias("prompt"))
+    config = Config(workers=1, roles=ROLES, build=Build(system=rules, seed=SEED))
+    return V.with_system(made, config, prompts).select("conv_ord", "system")
+
+
+def dry_run_preview(spark, sf_dir):
+    """The first conversations with turns cut for display, as a dry run shows them."""
+    shown = V.sample(whole(spark, sf_dir), 3)
+    return shown.select("conv_ord", F.array_join(F.transform("turns", lambda t: F.concat(F.lit("["), t["role"], F.lit("] "), T.truncate(t["content"], 40))), " / ").alias("preview"))
+
+
 NAMES = """inspect_participants inspect_media clean_reason_histogram clean_messages flatten_entities collapse_min_runes sessions_by_gap burst_merge
 window_by_turns window_by_chars conversation_build dedup_conversations encode_openai encode_sharegpt system_fixed system_pool train_val_split
-prompt_batches memory_windows fact_dedup consolidate_batches memory_records display_truncate month_labels text_variant_fallback parse_list"""
+prompt_batches memory_windows fact_dedup consolidate_batches memory_records display_truncate month_labels text_variant_fallback parse_list
+drop_report sticker_emoji epoch_parse no_split system_generated dry_run_preview"""
 QUERIES = {name: globals()[name] for name in NAMES.split()}
 
 _MESSAGES = "m AS (SELECT conv_id AS session_key, conv_id * 1000 + turn AS id, conv_id * 100000 + turn * 60 AS date, role, text FROM conversations WHERE role <> 'system')"
@@ -283,6 +329,8 @@ _RAW = """r AS (
         SELECT *, CASE WHEN n % 5 = 0 THEN 'service' WHEN sender = 'other' THEN 'unknown_sender' WHEN n % 11 = 0 THEN 'forwarded' WHEN n % 19 = 0 THEN 'via_bot'
                        WHEN n % 17 = 0 AND n % 2 = 0 AND flat = '' THEN 'media' WHEN flat = '' THEN 'empty' WHEN length(flat) < 3 THEN 'short' ELSE 'kept' END AS reason FROM r)"""
 
+_EDGES = "'" + facts_.EDGES.replace("'", "''") + "'"
+
 SQL = {
     "inspect_participants": """
         SELECT role AS from_id, arg_min(text, conv_id * 1000 + turn) AS name, count(*) AS messages FROM conversations GROUP BY role""",
@@ -351,4 +399,35 @@ SQL = {
     "text_variant_fallback": """
         SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN one WHEN 1 THEN trim(regexp_replace(text || text, '\\s+', ' ', 'g')) ELSE '' END AS text
         FROM (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS one FROM conversations)""",
+    "parse_list": rf"""
+        WITH a AS (
+            SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '```json' || chr(10) || CAST(to_json(ls) AS VARCHAR) || chr(10) || '```'
+                                WHEN 1 THEN array_to_string(list_transform(ls, lambda x: '«' || x || '»'), ' ') ELSE array_to_string(ls, chr(10) || '- ') END AS answer
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+        u AS (SELECT doc_id, translate(regexp_replace(trim(answer), '(?s)^```[^\n]*\n(.*)```$', '\1'), '«»„“”', repeat('"', 5)) AS t FROM a),
+        j AS (SELECT doc_id, t, regexp_extract(t, '(?s)\[.*\]') AS listed, regexp_extract_all(t, '(?s)"((?:[^"\\]|\\.)*)"', 1) AS quoted FROM u),
+        i AS (SELECT doc_id, CASE WHEN listed <> '' AND json_valid(listed) THEN from_json(listed, '["VARCHAR"]') WHEN len(quoted) > 0 THEN quoted ELSE string_split(t, chr(10)) END AS items FROM j),
+        c AS (SELECT doc_id, list_transform(items, lambda x: trim(trim(ltrim(regexp_replace(x, '^\s+|\s+$', '', 'g'), '{facts_.MARKERS}'), {_EDGES}))) AS items FROM i),
+        f AS (SELECT doc_id, list_filter(items, lambda x: length(x) >= {facts_.MIN_RUNES} AND regexp_matches(x, '\pL')) AS items FROM c),
+        d AS (SELECT doc_id, list_filter(items, lambda x, k: list_position(list_transform(items, lambda y: lower(y)), lower(x)) = k) AS items FROM f)
+        SELECT doc_id, CAST(len(items) AS BIGINT) AS n, md5(array_to_string(items, '|')) AS digest FROM d""",
+    "drop_report": f"""
+        WITH {_RAW} SELECT 0 AS place, 'read' AS label, count(*) AS n FROM k
+        UNION ALL SELECT CASE reason {" ".join(f"WHEN '{r}' THEN {i + 1}" for i, r in enumerate(["kept", *C.REASONS]))} END,
+                         CASE reason WHEN 'kept' THEN 'kept' {" ".join(f"WHEN '{r}' THEN '{label}'" for r, label in C.REASONS.items())} END, count(*) FROM k GROUP BY reason""",
+    "sticker_emoji": """
+        SELECT id, clean_text, CASE WHEN clean_text = '' THEN CASE WHEN id % 3 < 2 THEN 'media' ELSE 'empty' END ELSE 'kept' END AS reason
+        FROM (SELECT event_id AS id, CASE WHEN event_id % 7 = 0 THEN 'said' WHEN event_id % 6 = 4 THEN event_type ELSE '' END AS clean_text FROM events)""",
+    "epoch_parse": """
+        SELECT event_id, CASE event_id % 8 WHEN 0 THEN event_id WHEN 1 THEN -event_id WHEN 2 THEN event_id WHEN 6 THEN 9223372036854775807
+                         WHEN 7 THEN CAST('-9223372036854775808' AS BIGINT) ELSE 0 END AS date FROM events""",
+    "no_split": f"{_conversations()} SELECT conv_ord, conv_ord AS rank, 'train' AS part FROM v",
+    "system_generated": f"""{_conversations()},
+        u AS (SELECT conv_ord // {System().generated.batch_size} AS batch, conv_ord, unnest(turns) AS one, unnest(range(len(turns))) AS pos FROM v),
+        h AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY md5((batch + 1) || ':' || conv_ord || ':' || pos), conv_ord, pos) AS r FROM u WHERE one.role = 'assistant'),
+        p AS (SELECT batch, md5(string_agg(one.content, chr(10) ORDER BY r)) AS system FROM h WHERE r <= 5 GROUP BY batch)
+        SELECT conv_ord, system FROM v JOIN p ON conv_ord // {System().generated.batch_size} = batch""",
+    "dry_run_preview": f"""{_conversations()}
+        SELECT conv_ord, array_to_string(list_transform(turns, lambda u: '[' || u.role || '] ' || CASE WHEN length(u.content) > 40 THEN substr(u.content, 1, 40) || '…' ELSE u.content END), ' / ') AS preview
+        FROM v WHERE conv_ord < 3""",
 }
