@@ -8,7 +8,10 @@ that occur twice are joined back.  Records end in CR LF CR LF, which is the line
 separator of Spark's text sink, so archives are written through its commit
 protocol to any file system, gzip-compressed.
 
-Reading.  Files are read whole, by ``RECORDS`` records each, and parsed record by
+Archives hold at most ``RECORDS`` records, and so many fewer that their payloads can't
+exceed ``ARCHIVE`` bytes, as the longest payload shows; a longer payload is an archive alone.
+
+Reading.  Files are read whole and parsed record by
 record while decompressing; a payload's digest and length come from its bytes, a
 revisit's from its header.
 
@@ -37,6 +40,7 @@ from chatloom.llm.shared import cut, partitions, scratch
 
 MIN_REVISIT = 0
 RECORDS = 1000
+ARCHIVE = 1 << 29
 #: Captures that a range holds, about, and keys read ahead from each run of it.
 RANGE = 100_000
 BUFFER = 64
@@ -69,7 +73,8 @@ def write_warc(pages: DataFrame, captured: Column, id_col: str = "page_id", url_
     ``captured`` is each page's capture time.  Null payloads are empty; a null
     address is left out of the record, null ids are written as an empty name;
     control characters and blanks in an address are percent-encoded.  Rows that
-    repeat the response's id are responses too.
+    repeat the response's id are responses too.  A long payload takes memory in
+    proportion to its length; an empty table gives a folder without records.
     """
     spark = pages.sparkSession
     payload = F.coalesce(pages[payload_col].cast("string"), F.lit(""))
@@ -77,6 +82,7 @@ def write_warc(pages: DataFrame, captured: Column, id_col: str = "page_id", url_
     rows = rows.select("*", F.sha1(F.col("_payload").cast("binary")).alias("_sha"), F.octet_length("_payload").alias("_n"))
     firsts = rows.filter(F.col("_n") >= min_revisit).groupBy("_sha").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     firsts = cut(firsts.select(F.col("_sha").alias("_same"), "_first"), "warc-firsts")
+    together = min(RECORDS, max(1, ARCHIVE // max(1, rows.agg(F.max("_n")).first()[0] or 0)))
     rows = rows.join(firsts, rows["_sha"] == firsts["_same"], "left")
 
     revisit = F.col("_same").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_first"))
@@ -99,7 +105,7 @@ def write_warc(pages: DataFrame, captured: Column, id_col: str = "page_id", url_
     ]
     record = F.concat(F.concat_ws("\r\n", F.lit("WARC/1.1"), *fields), F.lit(END), block)
     path = scratch(spark, "warc-archives")
-    rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
+    rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", together).text(path)
     return path
 
 

@@ -178,6 +178,14 @@ def test_revisits_only_from_a_length_on(spark):
     assert {r["record_type"] for r in found if r["payload_bytes"] < 5} == {"response"} and "revisit" in {r["record_type"] for r in found}
 
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE", 50_000)
+    pages = spark.createDataFrame([(i, "http://a.org/", f"{i} " + "é" * 10_000) for i in range(9)] + [(9, None, None)], "page_id long, url string, html string").coalesce(1)
+    found = read_warc(spark, write_warc(pages, F.timestamp_seconds(F.lit(0)))).collect()
+    held = Counter(r["archive"] for r in found)
+    assert len(found) == 10 and max(held.values()) == 2 and {r["payload_bytes"] for r in found} == {0, 20_002}
+
+
 def test_cut_archive_raises():
     with pytest.raises(ValueError, match="cut short"):
         list(records(io.BufferedReader(io.BytesIO(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"))))
