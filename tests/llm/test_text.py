@@ -148,6 +148,7 @@ def test_long_words_and_round_trips(segmenter):
 
 def test_library_ids(segmenter, monkeypatch):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    segmenter.clear()  # of what other tests left
     monkeypatch.setattr(segmenter, "remembered", 20_000)
     texts = [t for t in [*odd_texts(600, 9), "The cat sat,\nand sat.", "a  b", "\n", " x", "x ", "\x00"] if "▁" not in t]
     before = 0
