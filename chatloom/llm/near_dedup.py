@@ -1,29 +1,35 @@
-"""Near-dedup by Jaccard similarity: texts of 0.8 or more on shingles of five words are linked.
+"""Near-dedup by SimHash and Jaccard: texts of 0.8 or more on shingles of five words are linked.
 
 A text is the set of its distinct five-word shingles (XXH64 of the words, lower
 case as in ``simhash``).  Texts of equal sets are one node, named by a hash of the
-set.  The index, the tally and the verification are those of ``simhash``, but a
-position's byte comes from a least hash over the set instead of eight majority bits:
-two sets share each position with a probability of their similarity, while at 0.8
-SimHash bits differ in 15 of 100, so that 64 of them guarantee no shared byte.
-
-A node is posted under ``BANDS`` keys of ``ROWS`` positions each.  A pair at exactly
-0.8 meets in no posting with probability (1 - 0.8^4)^25 = 2e-6, shares fewer than
-``SHARED`` of the positional bytes with 1e-6, and differs in more than ``FAR`` of
-their lowest bits with 4e-6.  Every link is verified by the exact similarity of the
-two sets, so nothing below ``LEAST`` is linked.
-
-No posting is compared pairwise as a whole.
-
-1. Every node is verified against the most central node of each of its postings,
+set.  Fingerprint, index, tally and verification are those of ``simhash``, made
+wide enough for a similarity instead of four bits: at 0.8, SimHash bits differ in 15
+of 100, so that 64 of them guarantee no shared byte.  A fingerprint here has
+``POSITIONS`` bytes, each bit the majority over all shingles of the set.
+
+A node is posted under each byte with the next one, the last with the first.  A pair
+at exactly 0.8 shares a byte with probability 0.27 and meets in no posting with 7e-6;
+it shares fewer than ``SHARED`` of the positional bytes, or differs in more than
+``APART`` bits, with less.  The postings' own look at 104 bits of the fingerprint misses
+2e-5.  These are for large sets; the fewer the shingles, the more it depends on
+their number (bits differ in 16 of 100 at the most, in 19 for sets of four against
+five, of which 3 in 1,000 are missed).  Sets of fewer than four are within 0.8 of no
+other set and not posted.  Every link is verified by the exact similarity of the two
+sets, so nothing below ``LEAST`` is linked.
+
+1. Within a posting, nodes of the same two bytes are compared by the checked bits;
+   most share the bytes by chance and go.  What is left falls into groups, each a
+   posting of its own from here on.  A posting of more than ``CROWDED`` is one group.
+2. Every node is verified against the most central node of each of its postings,
    that whose postings hold the most nodes.  This joins a large group of near
    copies by one link a node, and most postings then lie in one component.
-2. In the other postings, only nodes outside the central node's component are
+3. In the other postings, only nodes outside the central node's component are
    compared with the rest, in cells of at most about ``CELL`` by ``CELL`` nodes.
-   A cell tallies positional bytes and names the nodes that may have a link.
-3. These meet once more in their cells, with their sets, and are verified there.
+   A cell tallies positional bytes, counts the differing bits of pairs that share
+   enough, and names the nodes that may have a link.
+4. These meet once more in their cells, with their sets, and are verified there.
 
-So what travels is nodes, not pairs, and no task gathers a posting.
+So what travels is nodes, not pairs, and no task gathers a crowded posting.
 """
 
 from __future__ import annotations
@@ -42,12 +48,21 @@ from chatloom.llm.shared import apart, at, cut, only, partitions, positional, re
 SHINGLE = 5
 #: The least Jaccard similarity, as a fraction.
 LEAST = (4, 5)
-BANDS = 25
-ROWS = 4
-#: Positional bytes of BANDS * ROWS that a pair has to share to be verified: 80 are expected at 0.8, with a deviation of 4.
-SHARED = 60
-#: A one-bit summary of the positions that differs in more bits is not verified either: 10 are expected at 0.8, with a deviation of 3.
-FAR = 25
+#: Bytes of a fingerprint, a multiple of 8 of at least 16 and at most 256.
+POSITIONS = 192
+#: Positional bytes that a pair has to share to be verified: 52 are expected at 0.8, with a deviation of 6, and 0.8 of unlike texts.
+SHARED = 16
+#: Bits that a pair may differ in: 233 of 1,536 are expected at 0.8, with a deviation of 14, and 768 of unlike texts.
+APART = 350
+#: Of the two longs of a summary a pair may differ in so many bits: 19 of 128 are expected at 0.8, with a deviation of 4.
+FAR = 40
+#: Of the 104 bits of the summary that travel with a posting a pair may differ in so many: 16 are expected at 0.8, with a deviation of 4.
+CHECK = 32
+#: Nodes of a posting that are compared there; of a larger one all go on.
+CROWDED = 4096
+#: Rows of postings held at a time, and those to a task.
+HELD = 1 << 17
+DEALT = 1 << 22
 #: Nodes of a posting that meet in one cell, on either side.
 CELL = 256
 SEED = 42
@@ -55,9 +70,12 @@ SEED = 42
 BLOCK = 2048
 
 _rng = np.random.default_rng(SEED)
-_FACTORS = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
-_MIX = _rng.integers(0, 1 << 63, ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = _rng.integers(0, 1 << 63, POSITIONS // 8, np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _rng.integers(0, 1 << 63, POSITIONS // 8, np.uint64)
+#: Rows of bits that add up in a byte.
+ADDED = 255
+#: Where a posting's key begins: 8 bits each of its number and its two bytes; checked bits lie below.
+KEY = 40
 
 
 def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -82,46 +100,137 @@ def _node(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
 
 
-def signature(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """(a key for each band, a byte for each position, their lowest bits in two longs) of a set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+def widened(hashes: np.ndarray) -> np.ndarray:
+    """``POSITIONS`` bytes for each hash, a row each."""
     with np.errstate(over="ignore"):
-        for low in range(0, len(hashes), BLOCK):
-            part = hashes[low : low + BLOCK]
-            x = (part ^ (part >> np.uint64(31)))[:, None] * _FACTORS + _SHIFTS
-            np.minimum(least, x.min(axis=0), out=least)
-        least ^= least >> np.uint64(29)
-        least *= np.uint64(0x9E3779B97F4A7C15)
-        least ^= least >> np.uint64(32)
-        keys = ((least.reshape(BANDS, ROWS) >> np.uint64(7)) * _MIX).sum(axis=1, dtype=np.uint64)
-        keys ^= keys >> np.uint64(30)
-        keys = keys * np.uint64(0xBF58476D1CE4E5B9) + np.arange(BANDS, dtype=np.uint64)
-    bits = np.zeros(128, np.uint8)
-    bits[: BANDS * ROWS] = (least & np.uint64(1)).astype(np.uint8)
-    return keys.view(np.int64), (least & np.uint64(255)).astype(np.uint8), np.packbits(bits).view(np.int64).tolist()
+        x = (hashes ^ (hashes >> np.uint64(31)))[:, None] * _FACTORS + _SHIFTS
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+    return x.astype("<u8", copy=False).view(np.uint8)
+
+
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """``POSITIONS`` bytes; a bit is 1 if it is set in over half of the set's widened hashes."""
+    ones = np.zeros(8 * POSITIONS, np.int64)
+    for low in range(0, len(hashes), ADDED):
+        ones += np.unpackbits(widened(hashes[low : low + ADDED]), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes))
+
+
+def _keys(positions: np.ndarray) -> np.ndarray:
+    """The keys of fingerprints, a row each: for each position its number, its byte and the next."""
+    number = np.arange(POSITIONS, dtype=np.uint64) << np.uint64(KEY + 16)
+    here, following = positions.astype(np.uint64), np.roll(positions, -1, axis=1).astype(np.uint64)
+    return number | here << np.uint64(KEY + 8) | following << np.uint64(KEY)
+
+
+def signature(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(a key for each posting, the bytes of the fingerprint, a summary in two longs: its first 16 bytes) of a set."""
+    positions = fingerprint(hashes)
+    return _keys(positions[None, :])[0].view(np.int64), positions, positions[:16].view("<i8").tolist()
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """(``_id``, ``_its``, ``_node``, ``_n``, ``_bands``, ``_bytes``, ``_s0``, ``_s1``) of the rows (``_id``, ``_its``, ``_text``)."""
+    """(``_id``, ``_its``, ``_node``, ``_n``, ``_bytes``, ``_s0``, ``_s1``) of the rows (``_id``, ``_its``, ``_text``)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("near")
         for batch in batches:
-            nodes, sizes, bands, positions, s0, s1 = [], [], [], [], [], []
+            nodes, sizes, positions, s0, s1 = [], [], [], [], []
             for v in batch.column(2):
                 hashes = shingles(v.as_py())
-                keys, own, (a, b) = signature(hashes)
+                own = fingerprint(hashes)
+                a, b = own[:16].view("<i8").tolist()
                 nodes.append(_node(hashes))
                 sizes.append(len(hashes))
-                bands.append(keys)
                 positions.append(own.tobytes())
                 s0.append(a)
                 s1.append(b)
-            listed = pa.array(bands, pa.list_(pa.int64()))
-            columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), listed, pa.array(positions, pa.binary()), pa.array(s0, pa.int64()), pa.array(s1, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_its", "_node", "_n", "_bands", "_bytes", "_s0", "_s1"])
+            columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(positions, pa.binary()), pa.array(s0, pa.int64()), pa.array(s1, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_its", "_node", "_n", "_bytes", "_s0", "_s1"])
 
-    return rows.mapInArrow(made, f"_id {rows.schema['_id'].dataType.simpleString()}, _its bigint, _node bigint, _n int, _bands array<bigint>, _bytes binary, _s0 bigint, _s1 bigint")
+    return rows.mapInArrow(made, f"_id {rows.schema['_id'].dataType.simpleString()}, _its bigint, _node bigint, _n int, _bytes binary, _s0 bigint, _s1 bigint")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, POSITIONS)
+
+
+def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(``key`` and the lowest ``KEY`` bits of the first long of the summary, the second long) of the rows (``_bytes``, ``_s0``, ``_s1``), a row for each posting."""
+    only("near")
+    for whole in batches:
+        for low in range(0, whole.num_rows, 256):
+            batch = whole.slice(low, 256)
+            check = batch.column(1).to_numpy().view(np.uint64) & np.uint64((1 << KEY) - 1)
+            keys = (_keys(_matrix(batch.column(0))) | check[:, None]).ravel().view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column(2).to_numpy(), POSITIONS))], names=["key", "_check"])
+
+
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (the least member of everyone's group) after the groups of each ``a`` and ``b`` have become one."""
+    while True:
+        x, y = label[a], label[b]
+        if (x == y).all():
+            return label
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label != (after := label[label])).any():
+            label = after
+
+
+def _groups(keys: np.ndarray, first: np.ndarray, second: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+    """The least row of everyone's group: rows of equal keys joined where the checked bits differ in at most ``CHECK``."""
+    label, at = np.arange(len(keys)), np.flatnonzero(~crowded)
+    a, b, waiting = [], [], 0
+    for step in range(1, len(keys)):
+        at = at[at + step < len(keys)]
+        at = at[keys[at] == keys[at + step]]
+        if not len(at):
+            break
+        differ = np.bitwise_count(first[at] ^ first[at + step]) + np.bitwise_count(second[at] ^ second[at + step])
+        near = at[differ <= CHECK]
+        a.append(near)
+        b.append(near + step)
+        waiting += len(near)
+        if waiting > HELD:
+            label, a, b, waiting = _joined(label, np.concatenate(a), np.concatenate(b)), [], [], 0
+    return _joined(label, np.concatenate(a), np.concatenate(b)) if a else label
+
+
+def _together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """(``key``, ``_band``, ``_check``) of the groups of two and more within a posting, each by a key of its own; batches come sorted."""
+
+    def found(rows: np.ndarray, full: int) -> pa.RecordBatch:
+        words = rows.view(np.uint64)
+        keys, first = words[0] >> np.uint64(KEY), words[0] & np.uint64((1 << KEY) - 1)
+        _, place, sizes = np.unique(keys, return_inverse=True, return_counts=True)
+        crowded = (sizes[place] > most) | (keys.astype(np.int64) == full)
+        label = _groups(keys, first, words[1], crowded)
+        own = np.where(crowded, keys << np.uint64(KEY), words[0][label])
+        some = crowded | (np.bincount(label, minlength=len(label))[label] > 1)
+        pairs = np.unique(np.stack([own[some], words[1][some]]), axis=1)
+        bands = (pairs[0] >> np.uint64(KEY + 16)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0].view(np.int64)), pa.array(bands), pa.array(pairs[1].view(np.int64))], names=["key", "_band", "_check"])
+
+    only("near")
+    held, n, full = [], 0, -1
+    for batch in batches:
+        held.append(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]))
+        n += batch.num_rows
+        if n < max(HELD, 2 * most):
+            continue
+        rows = np.concatenate(held, axis=1)
+        keys = rows[0].view(np.uint64) >> np.uint64(KEY)
+        edges = np.flatnonzero(np.diff(keys))
+        done = int(edges[-1]) + 1 if len(edges) else n
+        now = full
+        if not len(edges):  # one posting, and more of it may come
+            now = full = int(keys[0])
+        yield found(rows[:, :done], now)
+        held, n = [rows[:, done:]], n - done
+    if n:
+        yield found(np.concatenate(held, axis=1), full)
 
 
 def _sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -214,24 +323,28 @@ def _to_compare(kind: np.ndarray, minor: np.ndarray, block: np.ndarray, root: np
 
 
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of a cell that share enough positional bytes with a row of another component, met first in this posting."""
+    """The rows of a cell that share enough positional bytes with a row of another component, and enough bits, met first in this posting."""
     up, down = LEAST
     only("near")
     for cell in _runs(batches):
         if len(cell) < 2:
             continue
         kind, minor, block, band, size, root = (cell.column(c).to_numpy() for c in ("_kind", "_minor", "_block", "_band", "_n", "_root"))
-        bands = np.stack(cell.column("_bands").to_numpy())
-        positions = np.stack([np.frombuffer(x, np.uint8) for x in cell.column("_bytes").to_pylist()])
+        positions = _matrix(cell.column("_bytes"))
+        words = positions.view(np.uint64)
         size = size.astype(np.int64)
         found = np.zeros(len(cell), bool)
         for u in np.flatnonzero(minor).tolist():
             v = _to_compare(kind, minor, block, root, u)
             v = v[np.minimum(size[v], size[u]) * (up + down) >= up * (size[v] + size[u])]
-            v = v[(positions[v] == positions[u]).sum(axis=1) >= SHARED]
+            equal = positions[v] == positions[u]
+            enough = equal.sum(axis=1) >= SHARED
+            v, equal = v[enough], equal[enough]
+            near = np.bitwise_count(words[v] ^ words[u]).sum(axis=1, dtype=np.int64) <= APART
+            v, equal = v[near], equal[near]
             if len(v):
-                equal = bands[v] == bands[u]
-                v = v[equal.any(axis=1) & (equal.argmax(axis=1) == band[u])]
+                both = equal & np.roll(equal, -1, axis=1)
+                v = v[both.any(axis=1) & (both.argmax(axis=1) == band[u])]
                 found[v] = True
                 found[u] |= len(v) > 0
         own = cell.select(["cell", "_kind", "_minor", "_block", "_root", "_node"]).filter(pa.array(found))
@@ -268,13 +381,17 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _linked(rows: DataFrame, marked: DataFrame) -> DataFrame:
     """(``a``, ``b``): links between nodes that connect just what candidates of LEAST and more connect."""
     n = partitions(rows.sparkSession)
-    classes = cut(marked.groupBy("_node").agg(F.min("_its").alias("_its"), *[F.first(c).alias(c) for c in ("_n", "_bands", "_bytes", "_s0", "_s1")]), "near-classes")
-    postings = classes.select(F.posexplode("_bands").alias("_band", "key"), "_node", "_n", "_s0", "_s1")
-    shared = cut(postings.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").withColumnRenamed("key", "_key"), "near-shared")
-    _, postings = apart(postings, "key", shared.select("_key"))
-    met = cut(postings.join(shared, postings["key"] == shared["_key"]).drop("_key"), "near-postings")
-    central = cut(met.groupBy("_node").agg(F.sum("_c").alias("_central")).withColumnRenamed("_node", "_of"), "near-central")
-    met = cut(met.join(central, met["_node"] == central["_of"]).drop("_of", "_c"), "near-met")
+    classes = cut(marked.groupBy("_node").agg(F.min("_its").alias("_its"), *[F.first(c).alias(c) for c in ("_n", "_bytes", "_s0", "_s1")]), "near-classes")
+    up, down = LEAST
+    linkable = classes.filter(F.col("_n") * (down - up) >= up)  # a smaller set is less than 0.8 of itself and one more shingle
+    tasks, most = max(n, linkable.count() * POSITIONS // DEALT), CROWDED
+    postings = linkable.select("_bytes", "_s0", "_s1").mapInArrow(_posted, "key bigint, _check bigint")
+    postings = postings.repartition(tasks, F.shiftrightunsigned("key", KEY)).sortWithinPartitions("key")
+    met = cut(postings.mapInArrow(lambda batches: _together(batches, most), "key bigint, _band int, _check bigint"), "near-together").distinct()
+    met = cut(met.join(linkable.select("_node", "_n", "_s0", "_s1"), F.col("_check") == F.col("_s1")).drop("_check"), "near-postings")
+    sizes = cut(met.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).withColumnRenamed("key", "_key"), "near-shared")
+    central = cut(met.join(sizes, met["key"] == sizes["_key"]).groupBy("_node").agg(F.sum("_c").alias("_central")).withColumnRenamed("_node", "_of"), "near-central")
+    met = cut(met.join(central, met["_node"] == central["_of"]).drop("_of"), "near-met")
     nodes = cut(classes.join(central, classes["_node"] == central["_of"], "left_semi").select("_its"), "near-nodes")
     sets = cut(_sets(rows, nodes), "near-sets")
     first, leaders = _stars(met, sets)
@@ -285,8 +402,8 @@ def _linked(rows: DataFrame, marked: DataFrame) -> DataFrame:
     split = cut(placed.groupBy("key").agg(F.min("_root").alias("x"), F.max("_root").alias("y")).filter("x <> y").select(F.col("key").alias("_key")), "near-split")
     placed = cut(placed.join(split, placed["key"] == split["_key"], "left_semi"), "near-undecided")
     cells = _in_cells(placed, leaders.join(split, "_key", "left_semi"))
-    described = classes.select(F.col("_node").alias("_of"), "_n", "_bands", "_bytes")
-    cells = cells.join(described, cells["_node"] == described["_of"]).select("cell", "_kind", "_minor", "_block", "_band", "_node", "_n", "_root", "_bands", "_bytes")
+    described = classes.select(F.col("_node").alias("_of"), "_n", "_bytes")
+    cells = cells.join(described, cells["_node"] == described["_of"]).select("cell", "_kind", "_minor", "_block", "_band", "_node", "_n", "_root", "_bytes")
     schema = "cell bigint, _kind int, _minor boolean, _block int, _root bigint, _node bigint"
     maybe = cut(cells.repartition(n, "cell").sortWithinPartitions("cell", "_node").mapInArrow(_may_link, schema), "near-maybe")
     with_sets = maybe.join(sets.withColumnRenamed("_node", "_of"), F.col("_node") == F.col("_of")).drop("_of")

@@ -7,6 +7,7 @@ from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, clashing
 from test_dedup import joined
@@ -64,6 +65,57 @@ def test_signature_recall_at_the_bound():
         assert (x == y).any() and differ <= near_dedup.FAR
 
 
+def test_signature_is_simhash():
+    """Every bit of the bytes is the majority over all shingles, and every key is two neighbouring ones."""
+    hashes = np.random.default_rng(3).integers(0, 1 << 63, 601, np.uint64)
+    for n in (1, 4, 5, 300, 601):
+        keys, positions, summary = near_dedup.signature(hashes[:n])
+        rows = [int.from_bytes(near_dedup.widened(h[None]).tobytes()) for h in hashes[:n]]
+        bits = [2 * sum(r >> i & 1 for r in rows) > n for i in range(8 * near_dedup.POSITIONS)]
+        whole = sum(bit << i for i, bit in enumerate(bits)).to_bytes(near_dedup.POSITIONS)
+        assert positions.tobytes() == whole and np.array(summary, "<i8").tobytes() == whole[:16]
+        found = [((k >> 56) % 256, k >> 48 & 255, k >> 40 & 255) for k in keys.tolist()]
+        assert found == [(i, b, whole[(i + 1) % len(whole)]) for i, b in enumerate(whole)]
+
+
+def postings(rng, n):
+    """Sorted rows (key and checked bits, further checked bits) of five keys, each some bits away from one of nine."""
+    signed = lambda x: x - (x >> 63 << 64)
+    centres = [(rng.getrandbits(40), rng.getrandbits(64)) for _ in range(9)]
+    flips = lambda bits: sum(1 << i for i in rng.sample(range(bits), rng.randint(0, 4)))
+    found = []
+    for _ in range(n):
+        key, (one, two) = rng.choice([3, 3, 3, 5, 200 << 16, 201 << 16 | 7]), rng.choice(centres)
+        found.append((signed(key << 40 | one ^ flips(40)), signed(two ^ flips(64))))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("most", [1000, 30])
+def test_groups_of_a_posting(monkeypatch, most):
+    monkeypatch.setattr(near_dedup, "HELD", 50)
+    monkeypatch.setattr(near_dedup, "CHECK", 8)
+    rows = postings(random.Random(4), 400)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + 7], strict=True)], names=["key", "_check"]) for i in range(0, 400, 7)]
+    found = {}
+    for b in near_dedup._together(iter(batches), most):
+        for key, band, check in zip(*b.to_pydict().values(), strict=True):
+            assert band == key >> 56 & 255
+            found.setdefault(key >> 40, {}).setdefault(key, set()).add(check)
+    for key in {k >> 40 for k, _ in rows}:
+        own = sorted({r for r in rows if r[0] >> 40 == key})
+        if sum(r[0] >> 40 == key for r in rows) > most:
+            assert found.pop(key) == {key << 40: {c for _, c in own}}
+            continue
+        far = lambda a, b: sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(a, b, strict=True))
+        near = joined([(a, a) for a in own] + [(a, b) for a, b in combinations(own, 2) if far(a, b) <= 8])
+        groups = {}
+        for row, group in near.items():
+            groups.setdefault(group, []).append(row)
+        several = [g for g in groups.values() if sum(rows.count(r) for r in g) > 1]
+        assert sorted(sorted(g) for g in found.pop(key, {}).values()) == sorted(sorted({c for _, c in g}) for g in several)
+    assert not found
+
+
 def test_near_decides_by_row(spark):
     words = [f"w{i}" for i in range(60)]
     one, other, third = " ".join(words), " ".join(reversed(words)), " ".join(f"z{i}" for i in range(60))
