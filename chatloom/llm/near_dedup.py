@@ -10,8 +10,8 @@ of 100, so that 64 of them guarantee no shared byte.  A fingerprint here has
 A node is posted under each byte with the next one, the last with the first.  A pair
 at exactly 0.8 shares a byte with probability 0.27 and meets in no posting with 7e-6;
 it shares fewer than ``SHARED`` of the positional bytes, or differs in more than
-``APART`` bits, with less.  The postings' own look at 104 bits of the fingerprint misses
-2e-5.  These are for large sets; the fewer the shingles, the more it depends on
+``APART`` bits, with less.  The postings' own look at 168 bits of the fingerprint misses
+3e-6.  These are for large sets; the fewer the shingles, the more it depends on
 their number (bits differ in 16 of 100 at the most, in 19 for sets of four against
 five, of which 3 in 1,000 are missed).  Sets of fewer than four are within 0.8 of no
 other set and not posted.  Every link is verified by the exact similarity of the two
@@ -20,16 +20,19 @@ sets, so nothing below ``LEAST`` is linked.
 1. Within a posting, nodes of the same two bytes are compared by the checked bits;
    most share the bytes by chance and go.  What is left falls into groups, each a
    posting of its own from here on.  A posting of more than ``CROWDED`` is one group.
-2. Every node is verified against the most central node of each of its postings,
-   that whose postings hold the most nodes.  This joins a large group of near
-   copies by one link a node, and most postings then lie in one component.
+2. A posting's central node is that whose postings hold the most nodes.  Every node
+   is verified against the most central of its postings' central nodes that it may be
+   linked to.  This joins a large group of near copies by one link a node, and most
+   postings then lie in one component.
 3. In the other postings, only nodes outside the central node's component are
    compared with the rest, in cells of at most about ``CELL`` by ``CELL`` nodes.
    A cell tallies positional bytes, counts the differing bits of pairs that share
    enough, and names the nodes that may have a link.
 4. These meet once more in their cells, with their sets, and are verified there.
 
-So what travels is nodes, not pairs, and no task gathers a crowded posting.
+So what travels is nodes, not pairs.  A node keeps its postings in one row, to which
+what is known of it is joined once; a task that deals a posting to cells holds four
+longs for each of its nodes.
 """
 
 from __future__ import annotations
@@ -56,8 +59,8 @@ SHARED = 16
 APART = 350
 #: Of the two longs of a summary a pair may differ in so many bits: 19 of 128 are expected at 0.8, with a deviation of 4.
 FAR = 40
-#: Of the 104 bits of the summary that travel with a posting a pair may differ in so many: 16 are expected at 0.8, with a deviation of 4.
-CHECK = 32
+#: Of the 168 bits of the fingerprint that travel with a posting a pair may differ in so many: 25 are expected at 0.8, with a deviation of 5, and 84 of unlike texts, with one of 6.5.
+CHECK = 48
 #: Nodes of a posting that are compared there; of a larger one all go on.
 CROWDED = 4096
 #: Rows of postings held at a time, and those to a task.
@@ -158,14 +161,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(``key`` and the lowest ``KEY`` bits of the first long of the summary, the second long) of the rows (``_bytes``, ``_s0``, ``_s1``), a row for each posting."""
+    """(``key`` and the lowest ``KEY`` bits of the first long of the fingerprint, the second long, the third) of the rows (``_bytes``, ``_s0``, ``_s1``), a row for each posting."""
     only("near")
     for whole in batches:
         for low in range(0, whole.num_rows, 256):
             batch = whole.slice(low, 256)
             check = batch.column(1).to_numpy().view(np.uint64) & np.uint64((1 << KEY) - 1)
-            keys = (_keys(_matrix(batch.column(0))) | check[:, None]).ravel().view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column(2).to_numpy(), POSITIONS))], names=["key", "_check"])
+            positions = _matrix(batch.column(0))
+            keys = (_keys(positions) | check[:, None]).ravel().view(np.int64)
+            further = [batch.column(2).to_numpy(), positions[:, 16:24].copy().view("<i8").ravel()]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(np.repeat(c, POSITIONS)) for c in further)], names=["key", "_check", "_further"])
 
 
 def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -179,7 +184,7 @@ def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = after
 
 
-def _groups(keys: np.ndarray, first: np.ndarray, second: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+def _groups(keys: np.ndarray, checked: list[np.ndarray], crowded: np.ndarray) -> np.ndarray:
     """The least row of everyone's group: rows of equal keys joined where the checked bits differ in at most ``CHECK``."""
     label, at = np.arange(len(keys)), np.flatnonzero(~crowded)
     a, b, waiting = [], [], 0
@@ -188,7 +193,7 @@ def _groups(keys: np.ndarray, first: np.ndarray, second: np.ndarray, crowded: np
         at = at[keys[at] == keys[at + step]]
         if not len(at):
             break
-        differ = np.bitwise_count(first[at] ^ first[at + step]) + np.bitwise_count(second[at] ^ second[at + step])
+        differ = sum(np.bitwise_count(bits[at] ^ bits[at + step]) for bits in checked)
         near = at[differ <= CHECK]
         a.append(near)
         b.append(near + step)
@@ -199,14 +204,17 @@ def _groups(keys: np.ndarray, first: np.ndarray, second: np.ndarray, crowded: np
 
 
 def _together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """(``key``, ``_band``, ``_check``) of the groups of two and more within a posting, each by a key of its own; batches come sorted."""
+    """(``key``, ``_band``, ``_check``) of the groups of two and more within a posting, each by a key of its own; batches come sorted.
+
+    Columns after ``_check`` are further bits to compare.
+    """
 
     def found(rows: np.ndarray, full: int) -> pa.RecordBatch:
         words = rows.view(np.uint64)
         keys, first = words[0] >> np.uint64(KEY), words[0] & np.uint64((1 << KEY) - 1)
         _, place, sizes = np.unique(keys, return_inverse=True, return_counts=True)
         crowded = (sizes[place] > most) | (keys.astype(np.int64) == full)
-        label = _groups(keys, first, words[1], crowded)
+        label = _groups(keys, [first, *words[1:]], crowded)
         own = np.where(crowded, keys << np.uint64(KEY), words[0][label])
         some = crowded | (np.bincount(label, minlength=len(label))[label] > 1)
         pairs = np.unique(np.stack([own[some], words[1][some]]), axis=1)
@@ -216,7 +224,7 @@ def _together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Recor
     only("near")
     held, n, full = [], 0, -1
     for batch in batches:
-        held.append(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]))
+        held.append(np.stack([c.to_numpy() for c in batch.columns]))
         n += batch.num_rows
         if n < max(HELD, 2 * most):
             continue
@@ -233,6 +241,13 @@ def _together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Recor
         yield found(np.concatenate(held, axis=1), full)
 
 
+def _sized(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_together`` with ``_size``, the rows of their group; of a crowded posting, those that came together."""
+    for batch in _together(batches, most):
+        _, place, sizes = np.unique(batch.column(0).to_numpy(), return_inverse=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes[place])], names=[*batch.schema.names, "_size"])
+
+
 def _sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """(``_node``, ``_set``) of ``nodes`` (``_its``: one row's of each), and of a few more; no text is shuffled."""
 
@@ -253,51 +268,110 @@ def _large(a: Column, b: Column) -> Column:
     return F.least(a, b) * (up + down) >= up * (a + b)
 
 
-def _stars(met: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((``a``, ``b``), (``_key``, ``_central_node``)): links between nodes and the central nodes of their postings, and these; ``met``: key, _node, _n, _s0, _s1, _central."""
-    leaders = met.groupBy("key").agg(F.max(F.struct("_central", "_node", "_n", "_s0", "_s1")).alias("l"))
-    leaders = cut(leaders.select("key", "l.*").toDF("_key", "l_central", "l_node", "l_n", "l_s0", "l_s1"), "near-leaders")
-    far = F.bit_count(F.col("_s0").bitwiseXOR(F.col("l_s0"))) + F.bit_count(F.col("_s1").bitwiseXOR(F.col("l_s1")))
-    pairs = met.join(leaders, met["key"] == leaders["_key"]).filter("_node <> l_node").filter(_large(F.col("_n"), F.col("l_n")) & (far <= FAR))
-    pairs = cut(pairs.select(F.col("l_node").alias("a"), F.col("_node").alias("b")).distinct(), "near-pairs")
+def _to_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(``a``, ``b``, ``central``): the first node of each posting with the others that may be linked to it; batches (key, _node, _n, _s0, _s1, _central) come sorted."""
+    up, down = LEAST
+    only("near")
+    first = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([c.to_numpy() for c in batch.columns])
+        if first is not None:  # a posting may go on from the batch before
+            rows = np.concatenate([first, rows], axis=1)
+        key, node, size, s0, s1, central = rows
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        lead = np.repeat(starts, np.diff(np.append(starts, len(key))))
+        far = np.bitwise_count((s0 ^ s0[lead]).view(np.uint64)) + np.bitwise_count((s1 ^ s1[lead]).view(np.uint64))
+        large = np.minimum(size, size[lead]) * (up + down) >= up * (size + size[lead])
+        pairs = np.unique(np.stack([node[lead], node, central[lead]])[:, (node != node[lead]) & large & (far <= FAR)], axis=1)
+        first = rows[:, lead[-1] : lead[-1] + 1]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "central"])
+
+
+def _stars(met: DataFrame, sets: DataFrame) -> DataFrame:
+    """(``a``, ``b``): links between nodes and the most central one of the central nodes of their postings; ``met``: _node, _n, _s0, _s1, _central, _in."""
+    rows = met.select(F.explode("_in").alias("p"), "_central", "_node", F.col("_n").cast("long").alias("_n"), "_s0", "_s1")
+    rows = rows.select(F.col("p.key").alias("key"), "_node", "_n", "_s0", "_s1", "_central")
+    rows = rows.repartition(partitions(met.sparkSession), "key").sortWithinPartitions("key", F.desc("_central"), F.desc("_node"))
+    best = rows.mapInArrow(_to_leaders, "a bigint, b bigint, central bigint").groupBy("b").agg(F.max(F.struct("central", "a")).alias("l"))
+    pairs = cut(best.select("l.a", "b"), "near-pairs")
     one = sets.select(F.col("_node").alias("a"), F.col("_set").alias("_a"))
     two = sets.select(F.col("_node").alias("b"), F.col("_set").alias("_b"))
     same = F.size(F.array_intersect("_a", "_b"))
     up, down = LEAST
     near = same * (up + down) >= up * (F.size("_a") + F.size("_b"))
-    links = cut(pairs.join(one, "a").join(two, "b").filter(near).select("a", "b"), "near-stars")
-    return links, leaders.select("_key", F.col("l_node").alias("_central_node"))
+    return cut(pairs.join(one, "a").join(two, "b").filter(near).select("a", "b"), "near-stars")
+
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A hash of each long."""
+    x = x.astype(np.uint64)
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
 
-def _in_cells(placed: DataFrame, leaders: DataFrame) -> DataFrame:
-    """``placed`` (key, _band, _node, _root) once for each cell of an undecided posting.
+
+def _cells(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows (key, _band, _node, _root), which come sorted with each posting's central node first, once for each cell of an undecided posting.
 
     The nodes outside the central node's component are the minor ones.  They and the
-    others are dealt to blocks by a hash.  Cell (0, i, j) compares minor block i with
-    major block j, (1, i, 0) also minor block i with itself, (2, i, k) minor blocks i and k.
+    others are dealt to blocks of about ``size`` by a hash.  Cell (0, i, j) compares minor
+    block i with major block j, (1, i, 0) also minor block i with itself, (2, i, k) minor
+    blocks i and k.
     """
-    roots = placed.select("_node", "_root").distinct()
-    central = cut(leaders.join(roots, leaders["_central_node"] == roots["_node"]).select("_key", F.col("_root").alias("_major")), "near-major")
-    rows = placed.join(central, placed["key"] == central["_key"]).drop("_key").withColumn("_minor", F.col("_root") != F.col("_major"))
-    rows = cut(rows.drop("_major"), "near-roles")
-    blocks = lambda minor: F.ceil(F.count(F.when(F.col("_minor") == minor, 1)) / CELL).cast("int")
-    sizes = cut(rows.groupBy("key").agg(blocks(True).alias("_p"), blocks(False).alias("_q")).filter("_p > 0").withColumnRenamed("key", "_key"), "near-sizes")
-    rows = rows.join(sizes, rows["key"] == sizes["_key"]).drop("_key")
-    own = F.pmod(F.xxhash64("_node"), F.when(F.col("_minor"), F.col("_p")).otherwise(F.col("_q"))).cast("int")
-    rows = rows.withColumn("_block", own)
-
-    def cell(kind: Column, a: Column, b: Column) -> Column:
-        return F.struct(kind.cast("int").alias("kind"), a.cast("int").alias("a"), b.cast("int").alias("b"))
-
-    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    block = F.col("_block")
-    major = F.transform(upto("_p"), lambda i: cell(F.when(block == 0, 1).otherwise(0), i, block))
-    minor = F.concat(
-        F.transform(upto("_q"), lambda j: cell(F.when(j == 0, 1).otherwise(0), block, j)),
-        F.transform(F.filter(upto("_p"), lambda k: k != block), lambda k: cell(F.lit(2), F.least(block, k), F.greatest(block, k))),
-    )
-    rows = rows.withColumn("_cell", F.explode(F.when(F.col("_minor"), minor).otherwise(major)))
-    return rows.select(F.xxhash64("key", "_cell").alias("cell"), F.col("_cell.kind").alias("_kind"), "_minor", "_block", "_band", "_node", "_root")
+
+    def dealt(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not rows.size:
+            return
+        starts = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
+        lengths = np.diff(np.append(starts, rows.shape[1]))
+        minor = rows[3] != np.repeat(rows[3, starts], lengths)
+        others = np.add.reduceat(minor.astype(np.int64), starts)
+        p, q = (np.repeat(-(-n // size), lengths) for n in (others, lengths - others))
+        rows, minor, p, q = rows[:, p > 0], minor[p > 0], p[p > 0], q[p > 0]
+        block = (_mixed(rows[2]) % np.where(minor, p, q).astype(np.uint64)).astype(np.int64)
+        times = np.where(minor, q + p - 1, p)
+        pieces = np.cumsum(times) // HELD
+        for low, high in zip(cuts := [0, *(np.flatnonzero(np.diff(pieces)) + 1).tolist(), len(times)], cuts[1:], strict=False):
+            at = np.repeat(np.arange(low, high), times[low:high])
+            k = np.arange(len(at)) - np.repeat(np.cumsum(times[low:high]) - times[low:high], times[low:high])
+            own, small = block[at], minor[at]
+            among = small & (k >= q[at])  # with another minor block
+            other = k - q[at] + (k - q[at] >= own)
+            i = np.where(small, np.where(among, np.minimum(own, other), own), k)
+            j = np.where(small, np.where(among, np.maximum(own, other), k), own)
+            kind = np.where(among, 2, j == 0)
+            cell = _mixed(_mixed(rows[0, at]) ^ (kind | i << 2 | j << 33).astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(kind, pa.int32()), pa.array(small), pa.array(own, pa.int32()), pa.array(rows[1, at], pa.int32()), pa.array(rows[2, at]), pa.array(rows[3, at])], names=["cell", "_kind", "_minor", "_block", "_band", "_node", "_root"])
+
+    only("near")
+    held, n = [], 0
+    for batch in batches:
+        held.append(np.stack([c.to_numpy() for c in batch.columns]))
+        n += batch.num_rows
+        if n < HELD:
+            continue
+        rows = np.concatenate(held, axis=1)
+        done = int(np.searchsorted(rows[0], rows[0, -1]))  # the last posting may go on
+        if done:
+            yield from dealt(rows[:, :done])
+        held, n = [rows[:, done:]], rows.shape[1] - done if done else 0
+    if held:
+        yield from dealt(np.concatenate(held, axis=1))
+
+
+def _in_cells(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """The nodes of undecided postings in their cells; ``met``: _node, _central, _in, _root.  What describes a node is joined once, not for each posting."""
+    size = CELL
+    rows = met.select(F.explode("_in").alias("p"), "_central", "_node", "_root").select(F.col("p.key").alias("key"), F.col("p._band").cast("long").alias("_band"), "_central", "_node", "_root")
+    rows = rows.repartition(partitions(met.sparkSession), "key").sortWithinPartitions("key", F.desc("_central"), F.desc("_node")).drop("_central")
+    schema = "cell bigint, _kind int, _minor boolean, _block int, _band int, _node bigint, _root bigint"
+    cells = rows.mapInArrow(lambda batches: _cells(batches, size), schema)
+    own = cells.groupBy("_node", "_root").agg(F.collect_list(F.struct("cell", "_kind", "_minor", "_block", "_band")).alias("_in"))
+    described = classes.select(F.col("_node").alias("_of"), "_n", "_bytes")
+    own = own.join(described, own["_node"] == described["_of"]).select(F.explode("_in").alias("c"), "_node", "_n", "_root", "_bytes")
+    return own.select("c.*", "_node", "_n", "_root", "_bytes")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -385,25 +459,17 @@ def _linked(rows: DataFrame, marked: DataFrame) -> DataFrame:
     up, down = LEAST
     linkable = classes.filter(F.col("_n") * (down - up) >= up)  # a smaller set is less than 0.8 of itself and one more shingle
     tasks, most = max(n, linkable.count() * POSITIONS // DEALT), CROWDED
-    postings = linkable.select("_bytes", "_s0", "_s1").mapInArrow(_posted, "key bigint, _check bigint")
+    postings = linkable.select("_bytes", "_s0", "_s1").mapInArrow(_posted, "key bigint, _check bigint, _further bigint")
     postings = postings.repartition(tasks, F.shiftrightunsigned("key", KEY)).sortWithinPartitions("key")
-    met = cut(postings.mapInArrow(lambda batches: _together(batches, most), "key bigint, _band int, _check bigint"), "near-together").distinct()
-    met = cut(met.join(linkable.select("_node", "_n", "_s0", "_s1"), F.col("_check") == F.col("_s1")).drop("_check"), "near-postings")
-    sizes = cut(met.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).withColumnRenamed("key", "_key"), "near-shared")
-    central = cut(met.join(sizes, met["key"] == sizes["_key"]).groupBy("_node").agg(F.sum("_c").alias("_central")).withColumnRenamed("_node", "_of"), "near-central")
-    met = cut(met.join(central, met["_node"] == central["_of"]).drop("_of"), "near-met")
-    nodes = cut(classes.join(central, classes["_node"] == central["_of"], "left_semi").select("_its"), "near-nodes")
-    sets = cut(_sets(rows, nodes), "near-sets")
-    first, leaders = _stars(met, sets)
+    together = cut(postings.mapInArrow(lambda batches: _sized(batches, most), "key bigint, _band int, _check bigint, _size bigint"), "near-together")
+    within = together.groupBy("_check").agg(F.sum("_size").alias("_central"), F.collect_set(F.struct("key", "_band")).alias("_in"))
+    met = cut(within.join(linkable.select("_node", "_its", "_n", "_s0", "_s1"), F.col("_check") == F.col("_s1")).drop("_check"), "near-met")
+    sets = cut(_sets(rows, cut(met.select("_its"), "near-nodes")), "near-sets")
+    first = _stars(met, sets)
 
     roots = cut(components(first), "near-first")
-    placed = met.join(roots, met["_node"] == roots["node"], "left").select("key", "_band", "_node", F.coalesce("root", "_node").alias("_root"))
-    placed = cut(placed, "near-placed")
-    split = cut(placed.groupBy("key").agg(F.min("_root").alias("x"), F.max("_root").alias("y")).filter("x <> y").select(F.col("key").alias("_key")), "near-split")
-    placed = cut(placed.join(split, placed["key"] == split["_key"], "left_semi"), "near-undecided")
-    cells = _in_cells(placed, leaders.join(split, "_key", "left_semi"))
-    described = classes.select(F.col("_node").alias("_of"), "_n", "_bytes")
-    cells = cells.join(described, cells["_node"] == described["_of"]).select("cell", "_kind", "_minor", "_block", "_band", "_node", "_n", "_root", "_bytes")
+    placed = met.join(roots, met["_node"] == roots["node"], "left").select("_node", "_central", "_in", F.coalesce("root", "_node").alias("_root"))
+    cells = _in_cells(cut(placed, "near-placed"), classes)
     schema = "cell bigint, _kind int, _minor boolean, _block int, _root bigint, _node bigint"
     maybe = cut(cells.repartition(n, "cell").sortWithinPartitions("cell", "_node").mapInArrow(_may_link, schema), "near-maybe")
     with_sets = maybe.join(sets.withColumnRenamed("_node", "_of"), F.col("_node") == F.col("_of")).drop("_of")

@@ -124,3 +124,50 @@ def test_near_decides_by_row(spark):
     ids = [r["doc_id"] for r in kept]
     assert {r["text"] for r in kept if r["doc_id"] == 1} == {one, other} and ids.count(1) == 2 and 2 not in ids
     assert ids.count(None) == 1 and {r["text"] for r in kept if r["doc_id"] is None} <= {third, third + " more"}
+
+
+def test_unlike_fingerprints_form_no_groups():
+    """Random fingerprints share two bytes by the hundred thousand; the checked bits tell them apart."""
+    own = np.random.default_rng(7).integers(0, 256, (8000, near_dedup.POSITIONS), np.uint8)
+    summaries = own[:, :16].copy().view("<i8")
+    rows = pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in own]), pa.array(summaries[:, 0]), pa.array(summaries[:, 1])], names=["_bytes", "_s0", "_s1"])
+    posted = pa.Table.from_batches(near_dedup._posted(iter([rows]))).sort_by("key").combine_chunks()
+    assert posted.num_rows == 8000 * near_dedup.POSITIONS
+    keys = posted["key"].to_numpy() >> near_dedup.KEY
+    assert (np.diff(keys) == 0).sum() > 50_000
+    assert sum(b.num_rows for b in near_dedup._together(iter(posted.to_batches()), near_dedup.CROWDED)) <= 4
+
+
+def test_cells_compare_each_pair_once(monkeypatch):
+    monkeypatch.setattr(near_dedup, "HELD", 50)
+    rng = random.Random(2)
+    rows = [(key, key % 192, node, rng.choice([1, 1, 1, node]) if key else 1) for key in range(-3, 4) for node in rng.sample(range(10, 200), rng.choice([2, 9, 60]))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + 7], strict=True)], names=["key", "_band", "_node", "_root"]) for i in range(0, len(rows), 7)]
+    found, band = {}, {r[0] % 192: r[0] for r in rows}
+    table = pa.Table.from_batches(near_dedup._cells(iter(batches), 4)).sort_by("cell").combine_chunks()
+    for cell in near_dedup._runs(iter(table.to_batches(max_chunksize=5))):
+        kind, minor, block, root, node, at = (cell.column(c).to_numpy() for c in ("_kind", "_minor", "_block", "_root", "_node", "_band"))
+        assert len(cell) <= 40 and len({*at}) == 1
+        for u in np.flatnonzero(minor).tolist():
+            for v in near_dedup._to_compare(kind, minor, block, root, u).tolist():
+                found.setdefault(band[int(at[0])], []).append(tuple(sorted((int(node[u]), int(node[v])))))
+    for key in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == key]
+        expected = [tuple(sorted((a[2], b[2]))) for a, b in combinations(own, 2) if a[3] != b[3]]
+        assert sorted(found.get(key, [])) == sorted(expected)
+
+
+def test_a_large_group_is_joined_by_node(spark, monkeypatch):
+    """Near copies of one text, most of them below 0.8 of each other, meet in many postings; rows of them are joined once a node."""
+    rng = random.Random(6)
+    template = [f"w{i}" for i in range(150)]
+    copies = [[f"x{rng.randint(0, 10**6)}" if rng.random() < 0.03 else w for w in template] for _ in range(150)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(copies)]
+    tables, cut = {}, near_dedup.cut
+    monkeypatch.setattr(near_dedup, "cut", lambda df, tag: tables.setdefault(tag, []).append(kept := cut(df, tag)) or kept)
+    kept = near_dedup.drop_similar(spark.createDataFrame(rows, "doc_id long, text string"))
+    near = joined([(i, i) for i, _ in rows] + [(a, b) for (a, x), (b, y) in combinations(rows, 2) if similar(shingles(x), shingles(y))])
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(near.values()))
+    sizes = {tag: sum(t.count() for t in found) for tag, found in tables.items()}
+    assert sizes["near-together"] > 10 * len(rows)
+    assert {tag: n for tag, n in sizes.items() if n > 2 * len(rows)}.keys() <= {"near-together", "near-maybe", "near-rest"}
