@@ -200,7 +200,9 @@ def consolidate_batches(spark, sf_dir):
 
 
 def memory_records(spark, sf_dir):
-    vector = F.when(F.col("vec_id") % 4 == 0, F.array().cast("array<bigint>")).otherwise(F.transform("embedding", lambda x: F.floor(x * 1000)))
+    """Vectors in thousandths; the product is of single precision, as in the SQL: a whole number would make it one of doubles."""
+    thousand = F.lit(1000).cast("float")
+    vector = F.when(F.col("vec_id") % 4 == 0, F.array().cast("array<bigint>")).otherwise(F.transform("embedding", lambda x: F.floor(x * thousand)))
     return table(spark, sf_dir, "embeddings").select("vec_id", memory_line(F.concat(F.lit("fact "), F.col("vec_id").cast("string")), vector).alias("line"))
 
 

@@ -35,5 +35,16 @@ def test_query(spark, data, duck, name):
     assert rows(found) == rows(expected)
 
 
+def test_memory_records_in_single_precision(spark, tmp_path):
+    """-0.061 is a little less in single precision; only its product with 1000 rounds to -61 again."""
+    vectors = [(1, [-0.061, 0.018, 0.181]), (2, [-0.15, -0.209, 0.053]), (3, [i / 1000 for i in range(-999, 1000)]), (4, [0.5])]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    found = entry.queries()["memory_records"](spark, str(tmp_path)).toPandas()
+    assert rows(found) == rows(con.sql(entry.oracle_sql()["memory_records"]).df())
+    assert '{"text":"fact 1","embedding":[-61,18,181]}' in set(found["line"])
+
+
 def test_entry(spark, data):
     assert entry.entry(spark).count() > 0
