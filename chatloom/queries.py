@@ -230,7 +230,7 @@ def parse_list(spark, sf_dir):
     """Answers made of each document's lines, as JSON arrays, quoted items or plain lines."""
     n, items = F.col("doc_id") % 3, F.split("text", "\n")
     answer = F.when(n == 0, F.concat(F.lit("```json\n"), F.to_json(items), F.lit("\n```"))).when(n == 1, F.concat_ws(" ", F.transform(items, lambda x: F.concat(F.lit("«"), x, F.lit("»"))))).otherwise(F.concat_ws("\n- ", items))
-    found = table(spark, sf_dir, "documents").select("doc_id", facts_.parse_list_column(answer).alias("facts"))
+    found = facts_.parse_lists(table(spark, sf_dir, "documents").select("doc_id", answer.alias("answer")), "answer", "facts")
     return found.select("doc_id", F.size("facts").cast("long").alias("n"), F.md5(F.array_join("facts", "|")).alias("digest"))
 
 

@@ -2,15 +2,18 @@ from __future__ import annotations
 
 import json
 import threading
+import tracemalloc
 from dataclasses import replace
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from chatloom import config as settings
 from chatloom.clients import Client, ServiceError
 from chatloom.config import Config, Roles, Service, System
+from chatloom.functions import facts as facts_
 from chatloom.functions.facts import parse_list
 from chatloom.functions.text import month, truncate
 from chatloom.functions.tokens import encoding
@@ -40,6 +43,41 @@ def test_parse_list(answer, expected):
     assert parse_list(answer) == expected
 
 
+def test_parse_lists_holds_few_strings():
+    """Of a batch of over 25 MB, the strings of about 1 MB at a time; one text beyond that stands alone."""
+    facts = [f"Fact number {i} of them" for i in range(20_000)]
+    answers = [json.dumps(facts[i * 7 : i * 7 + 400]) for i in range(2500)] + [None, "", "\n".join(facts * 8), None, "- Likes green tea"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(answers))), pa.array(answers)], names=["id", "answer"])
+    assert batch.nbytes > 25 << 20
+    at, peaks = 0, []
+    tracemalloc.start()
+    try:
+        for part in facts_._parsed(iter([batch])):
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            ids, found = part.columns
+            assert ids.to_pylist() == list(range(at, at + part.num_rows))
+            assert found.to_pylist() == [parse_list(x) for x in answers[at : at + part.num_rows]]
+            at += part.num_rows
+            tracemalloc.reset_peak()
+    finally:
+        tracemalloc.stop()
+    assert at == len(answers) and sorted(peaks)[len(peaks) // 2] < 8 << 20 and max(peaks) < batch.nbytes
+
+
+@pytest.mark.parametrize("size", ["1", "10000"])
+def test_parse_lists(spark, size):
+    answers = ['["Likes green tea", "Lives in a town"]', None, "", "«Works with wood»", "- Has a large dog\n2. Lives in a town", "ab"]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        rows = spark.createDataFrame([(x, i, "s") for i, x in enumerate(answers)], "answer string, id long, facts_of string")
+        found = facts_.parse_lists(rows, "answer", "facts")
+        assert found.columns == ["id", "facts_of", "facts"]
+        assert sorted(map(tuple, found.collect())) == [(i, "s", parse_list(x)) for i, x in enumerate(answers)]
+        assert facts_.parse_lists(rows.filter("id < 0"), "answer", "facts").collect() == []
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def messages(spark, n, sender="a"):
     return spark.createDataFrame([(i, 100 - i // 3, sender, sender, "x" * (i % 5), i) for i in range(n)], "id long, date long, from_id string, `from` string, text string, ord long")
 
